@@ -72,19 +72,22 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 # --- one row per key -----------------------------------------------------------------
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], **extra: Column) -> DataFrame:
     """Row of each key with the smallest ``order`` (all ascending; null first).
 
+    ``extra`` are further aggregates over the rows of the key, added as columns.
+
     ``min`` over a struct combines on the map side, so a key with billions of copies
     sends one row per map task. The 64-bit hash in front only speeds up the sort;
     equality is decided by the key columns themselves.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = F.min(
-        F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)), F.struct(*rest).alias("row"))
-    ).alias("__best")
-    grouped = df.groupBy(F.xxhash64(*keys).alias("__h"), *keys).agg(best)
-    return grouped.select(*keys, "__best.row.*").select(*df.columns)
+    ranked = [o.alias(f"o{i}") for i, o in enumerate(order)]
+    if rest:
+        ranked.append(F.struct(*rest).alias("row"))
+    aggs = [F.min(F.struct(*ranked)).alias("__best"), *(a.alias(n) for n, a in extra.items())]
+    grouped = df.groupBy(F.xxhash64(*keys).alias("__h"), *keys).agg(*aggs)
+    return grouped.select(*keys, *(["__best.row.*"] if rest else []), *extra).select(*df.columns, *extra)
 
 
 # --- size of each row's group ----------------------------------------------------------

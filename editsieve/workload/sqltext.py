@@ -75,3 +75,84 @@ FEATURE_SQL = {
     "upper_ratio": f"round({ratio(count(safe('added_text'), '[A-ZÀ-ÖØ-Þ]'), count(safe('added_text'), f'[{ALNUM}]'))}, 9)",
     "comment_revert_hint": flag(any_of(norm(safe("comment")), HINTS)),
 }
+
+# --- predicates, HTML, keys ------------------------------------------------------------
+RUN_TS = "2024-01-31T00:00:00Z"
+TS_SEC = "date_trunc('second', ts)"
+
+
+def row_hash(columns, seed: int = 42) -> str:
+    parts = ", ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)) END"
+        for c in columns
+    )
+    return f"sha1(concat_ws('|', {parts}, '{seed}'))"
+
+
+def untag(x: str) -> str:
+    return f"replace(regexp_replace({safe(x)}, '<[^>]+>', ' ', 'g'), '&nbsp;', ' ')"
+
+
+def strip_html(x: str) -> str:
+    return strip(untag(x))
+
+
+def strip_html_collapse(x: str) -> str:
+    return strip(collapse(untag(x)))
+
+
+def cells(x: str, css: str) -> str:
+    return f"""array_to_string(regexp_extract_all({x}, '(?is)<td class="{css}"[^>]*>(.*?)</td>', 1), ' ')"""
+
+
+def unescape(x: str) -> str:
+    """The XML entities and the no-break space, ``&amp;`` last so that nothing is decoded twice."""
+    for entity, text in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"),
+                         ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
+        x = f"replace({x}, '{entity}', {text})"
+    return x
+
+
+def key_part(x: str, n: int = 600) -> str:
+    return f"substr({collapse(f'lower({strip(safe(x))})')}, 1, {n})"
+
+
+def dedup_key(user: str = '"user"', ts: str = '"timestamp"', added: str = "added_text", removed: str = "removed_text") -> str:
+    return (
+        f"sha1(concat({safe('lang')}, '||', CAST(coalesce(revid, 0) AS VARCHAR), '||', "
+        f"CAST(coalesce(old_revid, 0) AS VARCHAR), '||', {key_part(ts, 40)}, '||', {key_part('title')}, '||', "
+        f"{key_part(user, 80)}, '||', {key_part('comment')}, '||', {key_part(added)}, '||', {key_part(removed)}))"
+    )
+
+
+def hash_fraction(key: str) -> str:
+    return f"(CAST(('0x' || substr({key}, 1, 8)) AS BIGINT) / 4294967295.0::DOUBLE)"
+
+
+_B, _E = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
+# --- fixed values: the context patterns without back-references --------------------------
+CONTEXT = (
+    r"(?i)https?://|www\.",
+    rf"(?i){_B}(test|lol|mdr|ptdr|xd+|haha+){_E}",
+    rf"(?i){_B}(fake|faux|hoax|spam){_E}",
+    rf"(?i){_B}(idiot|stupide|nul|debile|imbecile){_E}",
+    None,
+    rf"{_B}\p{{Nd}}{{6,}}{_E}",
+    r"[A-Z]{8,}",
+    r"\A[^\p{L}\p{N}]+\z",
+)
+# -------------------------------------------------------------------------------------------
+
+
+def context_hits(blob: str, chars: str) -> list[str]:
+    """One boolean per pattern; the character run compares the list of characters."""
+    return [repeat_run(chars, 6) if p is None else f"regexp_matches({blob}, {q(p)})" for p in CONTEXT]
+
+
+def context_score(blob: str, chars: str) -> str:
+    hits = " + ".join(f"CASE WHEN {h} THEN 2 ELSE 0 END" for h in context_hits(blob, chars))
+    return (
+        f"CAST(CASE WHEN {TAGGED} THEN 6 ELSE 0 END + CASE WHEN {IS_REVERT} THEN 4 ELSE 0 END "
+        f"+ CASE WHEN {WORDED} THEN 2 ELSE 0 END + {hits} "
+        f"+ CASE WHEN NOT {TAGGED} AND NOT contains(lower({safe('comment')}), 'revert') THEN 1 ELSE 0 END AS INTEGER)"
+    )
