@@ -12,16 +12,20 @@ KEY = ["lang", "dedup_key"]
 
 
 def attach_diffs(
-    changes: DataFrame, payloads: DataFrame, mode: str = "collapsed", how: str = "left", wanted: Column | None = None
+    changes: DataFrame, payloads: DataFrame, mode: str = "collapsed", how: str = "left", wanted: Column | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Join each change with its compare payload and extract (added, removed) text.
 
     ``how='inner'`` drops changes without a payload, ``'left'`` keeps them with empty text.
     Rows that want no diff get a negative join id made from their own columns, so they match
     nothing and still spread evenly (ids are positive). Text is extracted on the payload
-    side, before the join, so raw HTML is never shuffled.
+    side, before the join, so raw HTML is never shuffled. With ``small_batch`` the payload table
+    is first reduced to the ids of ``changes`` (a written table the planner knows the size of).
     """
     keys = ["old_revid", "revid"]
+    if small_batch:
+        payloads = payloads.join(changes.select(*keys).distinct(), keys, "left_semi")
     unique = first_per_key(payloads.select(*keys, "compare_html"), keys, [F.col("compare_html")])
     added, removed = tx.diff_texts(F.col("compare_html"), mode)
     diffs = unique.select(

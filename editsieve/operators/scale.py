@@ -224,6 +224,19 @@ def newest_global(df: DataFrame, key: str, n: int, step: int = 1 << 16) -> DataF
     return df.where(F.col(key) >= floor_value).orderBy(F.desc(key)).limit(n)
 
 
+def largest(df: DataFrame, key: str, n: int, tie: str) -> DataFrame:
+    """``n`` rows with the largest positive integer ``key``; ``tie`` (ascending, unique) settles ties.
+
+    As above with bands on a log scale, since counts are far from uniform.
+    """
+    band = F.floor(F.log2(F.col(key)) * 64).cast("bigint")
+    hist = df.groupBy(band.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    higher = Window.orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = hist.withColumn("__above", F.sum("__n").over(higher) - F.col("__n")).where(F.col("__above") < n)
+    floor_value = reached.agg(F.min("__b")).scalar()
+    return df.where(band >= floor_value).orderBy(F.desc(key), F.asc(tie)).limit(n)
+
+
 # --- prefix sums ------------------------------------------------------------------------------
 
 def running_totals(df: DataFrame, order: str, sums: dict[str, str]) -> DataFrame:

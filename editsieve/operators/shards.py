@@ -43,6 +43,7 @@ def candidates(
     cfg: HarvestConfig,
     run_ts: str,
     mode: str = "collapsed",
+    small_batch: bool = False,
 ) -> DataFrame:
     """Cap -> cursor -> revert switch -> diff budget -> diff text, in that order."""
     # The caps below look at the changes several times; they carry no diff text yet.
@@ -52,7 +53,9 @@ def candidates(
     if not cfg.include_non_reverts:
         df = sel.reverts_only(df)
     df = sel.mark_budget(df, cfg.max_diffs, "tie")
-    return attach_diffs(df, payloads, mode, "left", F.col("in_budget"))
+    if small_batch:
+        df = settle(df, "batch")
+    return attach_diffs(df, payloads, mode, "left", F.col("in_budget"), small_batch)
 
 
 def with_dedup_key(df: DataFrame) -> DataFrame:
@@ -85,14 +88,14 @@ def score_rows(df: DataFrame, cfg: HarvestConfig) -> DataFrame:
 
 def stage_shard(
     changes: DataFrame, payloads: DataFrame, index: DataFrame | None, state: DataFrame | None,
-    cfg: HarvestConfig, run_ts: str,
+    cfg: HarvestConfig, run_ts: str, small_batch: bool = False,
 ) -> DataFrame:
     """Every distinct candidate with its fate, written once.
 
     ``copies``/``diffs_spent`` say how many candidates a row stands for and how many of them
     used the diff budget; ``known`` rows are in the index already; a null bucket is sampled out.
     """
-    found = with_dedup_key(candidates(changes, payloads, state, cfg, run_ts))
+    found = with_dedup_key(candidates(changes, payloads, state, cfg, run_ts, small_batch=small_batch))
     order = sel.newest_order(F.col("ts"), F.col("revid"), F.col("tie"))
     unique = first_per_key(
         found, KEY, order, copies=F.count(F.lit(1)), diffs_spent=F.sum(F.col("in_budget").cast("bigint"))

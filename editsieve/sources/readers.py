@@ -23,7 +23,7 @@ _SHARD_READ = T.StructType(
 )
 
 
-def _or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
+def or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
     """The table, or an empty one when its path does not exist."""
     try:
         return read()
@@ -34,12 +34,12 @@ def _or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return _or_empty(spark, lambda: spark.read.text(path), _LINES)
+    return or_empty(spark, lambda: spark.read.text(path), _LINES)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with its whole text. Many files spread over the cluster; a file is one task."""
-    return _or_empty(spark, lambda: spark.read.text(path, wholetext=True), _LINES)
+    return or_empty(spark, lambda: spark.read.text(path, wholetext=True), _LINES)
 
 
 # --- tolerant JSON -----------------------------------------------------------------------------
@@ -106,7 +106,7 @@ def parse_bot_db(documents: DataFrame, lang: str, run_ts: str) -> DataFrame:
 # --- tables -----------------------------------------------------------------------------------------
 
 def read_change_events(spark: SparkSession, path: str) -> DataFrame:
-    return _or_empty(spark, lambda: spark.read.schema(CHANGE_EVENT).parquet(path), CHANGE_EVENT)
+    return or_empty(spark, lambda: spark.read.schema(CHANGE_EVENT).parquet(path), CHANGE_EVENT)
 
 
 def read_change_events_jdbc(spark: SparkSession, url: str, table: str = "change_events", **options: str) -> DataFrame:
@@ -151,7 +151,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
         ).parquet(path)
         return files.select(*SAMPLE_COLUMNS, F.col("_metadata.file_name").alias("file_name"))
 
-    return _or_empty(spark, read, T.StructType([*_SHARD_READ.fields, T.StructField("file_name", T.StringType())]))
+    return or_empty(spark, read, T.StructType([*_SHARD_READ.fields, T.StructField("file_name", T.StringType())]))
 
 
 def parse_shards(shards: DataFrame, run_ts: str, default_lang: str = "fr") -> DataFrame:
@@ -171,11 +171,11 @@ def parse_shards(shards: DataFrame, run_ts: str, default_lang: str = "fr") -> Da
 # --- landed change events -------------------------------------------------------------------------
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    return _or_empty(spark, lambda: spark.read.schema(CHANGE).json(path), CHANGE)
+    return or_empty(spark, lambda: spark.read.schema(CHANGE).json(path), CHANGE)
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return payload_table(_or_empty(spark, lambda: spark.read.schema(DIFF_PAYLOAD).json(path), DIFF_PAYLOAD))
+    return payload_table(or_empty(spark, lambda: spark.read.schema(DIFF_PAYLOAD).json(path), DIFF_PAYLOAD))
 
 
 def recent_changes(changes: DataFrame, payloads: DataFrame, cap: int | None, run_ts: str) -> DataFrame:

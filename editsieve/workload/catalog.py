@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("feature_queries", "select_queries", "shard_queries", "training_queries", "source_queries")
+_MODULES = ("feature_queries", "select_queries", "shard_queries", "training_queries", "source_queries", "model_queries", "stream_queries")
 
 
 def load() -> None:
