@@ -24,7 +24,7 @@ from .registry import query
 
 ID = ["revid", "source"]
 # Full vocabularies; fewer solver steps than the training default, and no row floor at small scale.
-CFG = TrainConfig(min_rows=50, max_iter=25)
+CFG = TrainConfig(min_rows=50, max_iter=10)
 
 _T = f", t AS (SELECT *, {s.TEXT} AS text FROM edits)"
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
