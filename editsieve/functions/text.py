@@ -68,7 +68,9 @@ def to_iso(c: Column, run_ts: str) -> Column:
 
 def parse_ts(c: Column) -> Column:
     """ISO string -> instant; a string without zone is UTC; anything else is null."""
-    t = strip(null_to_empty(c))
+    raw = strip(null_to_empty(c))
+    # Spark's cast wants seconds.
+    t = F.regexp_replace(raw, r"\A(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=Z|[+-]|\z)", "$1:00")
     zoned = (
         F.when(F.length(t) == 10, F.concat(t, F.lit("T00:00:00Z")))
         .when(t.rlike(r"(?:Z|[+-]\d{2}:?\d{2})\z"), t)
