@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .scale import first_per_key
+from .scale import first_per_key, settle
 
 KEY = ["lang", "dedup_key"]
 
@@ -58,6 +58,6 @@ def flag_known_keys(rows: DataFrame, index: DataFrame) -> DataFrame:
     the batch is small on disk the planner broadcasts the batch's keys and the index is only
     scanned; when both are large, both shuffle by the (uniform) hash key.
     """
-    hits = index.select(*KEY).join(rows.select(*KEY), KEY, "left_semi").distinct()
+    hits = settle(index.select(*KEY).join(rows.select(*KEY), KEY, "left_semi").distinct(), "known")
     joined = rows.join(hits.withColumn("known", F.lit(True)), KEY, "left")
     return joined.withColumn("known", F.coalesce("known", F.lit(False)))

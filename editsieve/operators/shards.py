@@ -102,9 +102,8 @@ def stage_shard(
     )
     scored = score_rows(unique, cfg).withColumn("source", F.concat(F.lit(cfg.source_prefix + "_"), "lang"))
     scored = scored.withColumn("tags", F.array_join(F.slice("tags", 1, 20), ","))
-    if index is None:
-        return settle(scored.withColumn("known", F.lit(False)), "staged")
-    return settle(flag_known_keys(settle(scored, "scored"), index), "staged")
+    staged = settle(scored, "staged")
+    return staged.withColumn("known", F.lit(False)) if index is None else flag_known_keys(staged, index)
 
 
 def shard_rows(staged: DataFrame) -> DataFrame:
