@@ -23,7 +23,7 @@ URL = rf"""(?i)https?://[^{WHITESPACE}<>"']+|www\.[^{WHITESPACE}<>"']+"""
 ALNUM = "A-Za-zÀ-ÖØ-öø-ÿ0-9"
 UPPER = "A-ZÀ-ÖØ-Þ"
 # U+017F, U+212A, U+0130 and U+0131 fold to ASCII letters, so they are not symbols.
-SYMBOL = rf"[^A-Za-z0-9ſKİı{WHITESPACE}]"
+NOT_SYMBOL = rf"[A-Za-z0-9\u017f\u212a\u0130\u0131{WHITESPACE}]"
 IP_USER = r"\A\p{Nd}{1,3}(?:\.\p{Nd}{1,3}){3}\z"
 REPEATED_CHAR = r"([^\n])\1{4,}"
 _B, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
@@ -45,7 +45,7 @@ def count_chars(c: Column, char_class: str) -> Column:
 
 
 def _ratio(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, F.least(part.cast("double") / whole, F.lit(1.0))).otherwise(F.lit(0.0))
+    return F.coalesce(F.least(F.try_divide(part.cast("double"), whole), F.lit(1.0)), F.lit(0.0))
 
 
 def flag(condition: Column) -> Column:
@@ -65,7 +65,9 @@ def url_count(text: Column) -> Column:
 
 
 def symbol_ratio(text: Column) -> Column:
-    return _ratio(count_chars(text, SYMBOL), F.length(text))
+    # What is left without the other characters: a class made of ranges is matched several times
+    # faster than its negation.
+    return _ratio(F.length(F.regexp_replace(text, f"{NOT_SYMBOL}+", "")), F.length(text))
 
 
 def delta_len(added: Column, removed: Column) -> Column:

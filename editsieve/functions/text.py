@@ -44,10 +44,8 @@ def normalize(c: Column) -> Column:
 
 
 def contains_any(c: Column, words) -> Column:
-    found = F.lit(False)
-    for word in words:
-        found = found | c.contains(word)
-    return found
+    # One search over all words, so that ``c`` is evaluated once.
+    return c.rlike("|".join(words))
 
 
 # --- timestamps ----------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import SERVING_THRESHOLD, TrainConfig
 from ..functions.features import hash_fraction, row_hash
-from ..operators.balance import class_weights
+from ..operators.balance import class_weights, stratified_folds
 from ..operators.enrich import enrich_features as enrich
 from ..operators.enrich import safe_text, with_text
 from ..operators.scale import scratch_path, settle
@@ -108,8 +108,15 @@ def train_logreg(spark, sf_dir):
 
 @query()
 def calibrate_platt(spark, sf_dir):
-    rows = _training_rows(spark, sf_dir)
-    return md.fit_calibrated(rows, CFG).transform(rows).select(*ID, "label", "score")
+    """Sigmoid calibration on one held-out fold: its rows with margin and calibrated score."""
+    rows = settle(stratified_folds(_training_rows(spark, sf_dir), 3, id_columns=ID), "folds")
+    vectors = md.feature_stages(rows, CFG).transform(md.gram_columns(rows)).select(*ID, "label", "fold", "features")
+    vectors = settle(vectors, "vectors")
+    stages = md.fit_fold(vectors, 1, vectors.where("fold <> 1").count(), CFG)
+    held_out = PipelineModel(stages).transform(vectors.where("fold = 1"))
+    return held_out.select(
+        *ID, "label", vector_to_array("margin")[0].alias("margin"), vector_to_array("probability")[1].alias("score")
+    )
 
 
 _STORED: dict[tuple[str, str], tuple[dict, str]] = {}

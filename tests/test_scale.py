@@ -29,8 +29,8 @@ def _frame(spark, data):
     return spark.createDataFrame(data, "id int, g string, t int, u string").repartition(4)
 
 
-@pytest.mark.parametrize("task_rows", [1, 10, 10_000])
-@pytest.mark.parametrize("n", [0, 1, 37, 150, 10_000])
+@pytest.mark.parametrize("task_rows", [1, 10_000])
+@pytest.mark.parametrize("n", [0, 37, 10_000])
 def test_keep_first_matches_sorting(spark, data, task_rows, n):
     order = [F.col("t"), F.col("id")]
     levels = [F.floor(F.col("t") / 10), F.col("t"), F.floor(F.col("id") / 16)]
