@@ -45,7 +45,7 @@ def count_chars(c: Column, char_class: str) -> Column:
 
 
 def _ratio(part: Column, whole: Column) -> Column:
-    return F.coalesce(F.least(F.try_divide(part.cast("double"), whole), F.lit(1.0)), F.lit(0.0))
+    return F.least(F.coalesce(F.try_divide(part.cast("double"), whole), F.lit(0.0)), F.lit(1.0))
 
 
 def flag(condition: Column) -> Column:
