@@ -14,11 +14,16 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 
 # Pieces a worker remembers; about 200 bytes each.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
+# Characters taken apart at a time.
+SPAN = 500_000
 _DOUBTFUL = re.compile(r"\s (?:\s|\Z)")
+_SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _STOPS = ".,;:!?"
 
 
@@ -90,6 +95,34 @@ class PieceEncoder:
         for p, (word, stops) in split.items():
             table[p] = table[word] + self.bare[stops]
 
+    def stream(self, texts: pa.Array) -> Iterator[bytes]:
+        """``ids`` of an Arrow column, row by row, with little of it as Python objects at a time."""
+        group, size = [], 0
+        for value in texts:
+            text = value.as_py()
+            if len(text) > SPAN:
+                yield from self.ids(group)
+                group, size = [], 0
+                yield b"".join(self.ids([part])[0] for part in self._parts(text))
+                continue
+            group.append(text)
+            size += len(text)
+            if size > SPAN:
+                yield from self.ids(group)
+                group, size = [], 0
+        yield from self.ids(group)
+
+    def _parts(self, text: str) -> Iterator[str]:
+        """A very long text, cut before blanks that stand alone; whole if it has a special string."""
+        if not self.can_cut or any(s in text for s in self.special):
+            yield text
+            return
+        at = 0
+        while len(text) - at > SPAN and (cut := _SAFE_BLANK.search(text, at + SPAN)):
+            yield text[at : cut.start()]
+            at = cut.start()
+        yield text[at:]
+
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         whole = [
             i for i, t in enumerate(texts)

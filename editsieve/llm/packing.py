@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         enc = PieceEncoder.of(tokenizer)
         for batch in batches:
             out = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.ids(batch.column("text").to_pylist())):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.stream(batch.column("text"))):
                 ids += end
                 starts = cut_points(len(ids) // 4, capacity)
                 for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids) // 4])):

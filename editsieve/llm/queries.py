@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from editsieve.llm.common import documents
 from editsieve.llm.packing import packed_documents
+from editsieve.llm.simhash import simhash_components
+from editsieve.llm.sketch import edited_pairs
 from editsieve.llm.token_cache import cached_counts
 from editsieve.llm.token_frames import token_frames
 
@@ -31,3 +33,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cached_counts(spark, documents(spark, sf_dir))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(spark, documents(spark, sf_dir))
+
+
+@query
+def op8_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_pairs(spark, documents(spark, sf_dir))

@@ -23,19 +23,17 @@ from editsieve.llm.common import id_text, scratch_path
 
 LIMIT = 1024
 CACHE = "content string, version string, n_tokens long"
-# Characters encoded in one call.
-CHUNK = 4_000_000
 
 
-def _count_json(path: str, texts: list[str]) -> list[int]:
-    return [len(ids) // 4 for ids in PieceEncoder.of(path).ids(texts)]
+def _count_json(path: str, texts: pa.Array) -> list[int]:
+    return [len(ids) // 4 for ids in PieceEncoder.of(path).stream(texts)]
 
 
-def _count_model(path: str, texts: list[str]) -> list[int]:
+def _count_model(path: str, texts: pa.Array) -> list[int]:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [len(ids) for ids in model.encode(texts, num_threads=1)]
+    return [len(model.encode(text.as_py())) for text in texts]
 
 
 def count_texts(texts: DataFrame, path: str, version: str) -> DataFrame:
@@ -44,7 +42,7 @@ def count_texts(texts: DataFrame, path: str, version: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            n = count(path, batch.column("text").to_pylist())
+            n = count(path, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("content"), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())],
                 names=["content", "version", "n_tokens"],

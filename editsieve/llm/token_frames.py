@@ -141,9 +141,8 @@ def write_frames(
             done.append((open_bucket, out.path, len(out.doc_ids), out.n_ids))
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             for bucket, doc_id, ids in zip(
-                batch.column("bucket").to_pylist(), batch.column("doc_id").to_pylist(), enc.ids(texts)
+                batch.column("bucket").to_pylist(), batch.column("doc_id").to_pylist(), enc.stream(batch.column("text"))
             ):
                 if bucket != open_bucket:
                     if out:
