@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from editsieve.llm import mixing
 from editsieve.llm.common import documents
+from editsieve.llm.fertility import quality_rules
+from editsieve.llm.maxent_lm import language_model_scores
 from editsieve.llm.packing import packed_documents
+from editsieve.llm.repeats import repeat_report
 from editsieve.llm.simhash import simhash_components
 from editsieve.llm.sketch import edited_pairs
 from editsieve.llm.token_cache import cached_counts
 from editsieve.llm.token_frames import token_frames
+from editsieve.llm.toxicity import toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +25,16 @@ def query(fn):
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(spark, documents(spark, sf_dir))
+
+
 @query
 def op3_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames(spark, documents(spark, sf_dir))
@@ -40,6 +55,24 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(spark, documents(spark, sf_dir))
 
 
+@query
+def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(spark, documents(spark, sf_dir))
+
+
 @query
 def op8_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(spark, documents(spark, sf_dir))
+
+
+@query
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(spark, documents(spark, sf_dir))
+
+
+@query
+def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_report(spark, documents(spark, sf_dir))
+
+
+ORACLES["op10_mixture"] = mixing.oracle()
