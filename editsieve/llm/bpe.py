@@ -16,10 +16,13 @@ import re
 from array import array
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 
-# Pieces a worker remembers; about 200 bytes each.
-REMEMBERED = 400_000
+# Pieces a worker remembers in each of two generations; about 200 bytes each.
+REMEMBERED = 450_000
+# Pieces encoded as the lines of one text.
+LINES = 400
 # Characters taken apart at a time.
 SPAN = 500_000
 _DOUBTFUL = re.compile(r"\s (?:\s|\Z)")
@@ -65,13 +68,28 @@ class PieceEncoder:
             and not spec["model"].get("dropout")
         )
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.stops = frozenset(_STOPS)
         self.remembered = remembered
         self.after_blank: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.line_end = self.tok.encode("\n", add_special_tokens=False).ids if self.can_cut else []
         self.bare: dict[str, bytes] = {}
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words behind a blank, encoded as lines: a line end is a pre-token of its own before a blank."""
+        out: list[bytes] = []
+        groups = [words[i : i + LINES] for i in range(0, len(words), LINES)]
+        for group, ids in zip(groups, self._encode(["\n".join(" " + w for w in g) for g in groups])):
+            ends = (4 * np.flatnonzero(np.frombuffer(ids, dtype="<u4") == self.line_end[0])).tolist()
+            if len(ends) + 1 != len(group):
+                out += self._encode([" " + w for w in group])
+                continue
+            out += [ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(ids)])]
+        return out
+
     def _learn_bare(self, texts: set[str]) -> None:
         new = [t for t in texts if t not in self.bare]
         self.bare.update(zip(new, self._encode(new)))
@@ -82,15 +100,19 @@ class PieceEncoder:
         split = {}
         plain = set()
         for p in pieces:
-            word = p.rstrip(_STOPS)
-            if word and word != p and word[-1].isalpha():
-                split[p] = (word, p[len(word):])
-                if word not in table:
-                    plain.add(word)
-            else:
-                plain.add(p)
-        order = list(plain)
-        table.update(zip(order, self._encode([" " + p for p in order])))
+            if p[-1:] in self.stops:
+                word = p.rstrip(_STOPS)
+                if word and word[-1].isalpha():
+                    split[p] = (word, p[len(word):])
+                    if word not in table:
+                        plain.add(word)
+                    continue
+            plain.add(p)
+        # Printable: no line end, tabulator or the like within.
+        words = [p for p in plain if p and p.isprintable()]
+        table.update(zip(words, self._encode_words(words)))
+        other = list(plain.difference(words))
+        table.update(zip(other, self._encode([" " + p for p in other])))
         self._learn_bare({stops for _, stops in split.values()})
         for p, (word, stops) in split.items():
             table[p] = table[word] + self.bare[stops]
@@ -137,8 +159,13 @@ class PieceEncoder:
             return out
         new = set().union(*cut.values()).difference(self.after_blank)
         if len(self.after_blank) + len(new) > self.remembered:
-            self.after_blank.clear()
+            # The table in use becomes the older one, from which pieces come back when they are met again.
+            self.older, self.after_blank = self.after_blank, {}
             new = set().union(*cut.values())
+        if self.older:
+            back = [p for p in new if p in self.older]
+            self.after_blank.update(zip(back, map(self.older.__getitem__, back)))
+            new = new.difference(back)
         if len(self.bare) > self.remembered // 10:
             self.bare.clear()
         self._learn(new)

@@ -43,7 +43,7 @@ DOCUMENT = "doc_id long, local_start long, n_tokens long, ids_crc32 long, path s
 class FrameWriter:
     """Streams frames to one file; the file gets its name only when it is complete."""
 
-    def __init__(self, folder: str, name: str, level: int = 3):
+    def __init__(self, folder: str, name: str, level: int = 1):
         import xxhash
         import zstandard
 
