@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 FOLDS = 5
 SAMPLE = {1: 1600, 0: 3200}
 SAMPLE_CHARS = 20_000
-WINDOW = 16
+WINDOW = 12
 ORDINARY_BYTES, TOXIC_BYTES = 40_000, 1024
 # Word beginnings in bytes, with the blank before; a whole word ends with a blank.
-SHORTEST, LONGEST = 6, 12
+SHORTEST, LONGEST = 5, 14
+# A telling beginning occurs in at least this share of the toxic sample, and so many times more often than in ordinary text.
+TELLING_SHARE, TELLING_RATIO = 0.02, 8
 # Bytes a window must gain to count.
-GAIN = 3
+GAIN = 2
 
 
 def held_out(doc_id: Column) -> Column:
@@ -58,7 +60,7 @@ class GainMeter:
 
         # The fast strategy with a target length leaves literals as they are, so lengths differ by matches alone.
         params = zstd.ZstdCompressionParameters(
-            compression_level=1, strategy=zstd.STRATEGY_FAST, target_length=1, min_match=6, window_log=17, hash_log=16,
+            compression_level=1, strategy=zstd.STRATEGY_FAST, target_length=1, min_match=5, window_log=17, hash_log=16,
             format=zstd.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0,
         )
 
@@ -95,6 +97,19 @@ def beginnings(texts: Iterable[bytes]) -> Counter:
     return found
 
 
+def without_copies(texts: list[bytes], words: int = 5, most: float = 0.2) -> list[bytes]:
+    """Sampled texts without those that share many shingles with earlier ones: copies would make anything look telling."""
+    seen: set[int] = set()
+    kept = []
+    for text in texts:
+        w = text.lower().split()
+        own = {hash(tuple(w[i : i + words])) for i in range(max(1, len(w) - words + 1))}
+        if len(own & seen) <= most * len(own):
+            kept.append(text)
+        seen |= own
+    return kept
+
+
 def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
     """Contents of the ordinary and of the toxic dictionary, best segments last."""
     t, o = beginnings(toxic), beginnings(ordinary)
@@ -104,17 +119,20 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
             break
         common.append(s)
         size += len(s)
-    least = max(3, len(toxic) // 200)
-    rated = []
+    least = max(3, TELLING_SHARE * len(toxic))
+    rated = {}
     for s, n in t.items():
         ratio = ((n + 0.5) / (len(toxic) + 1)) / ((o.get(s, 0) + 0.5) / (len(ordinary) + 1))
-        if n >= least and ratio > 8:
-            rated.append((n * math.log(ratio), s))
+        if n >= least and ratio > TELLING_RATIO:
+            rated[s] = n * math.log(ratio)
     telling: list[bytes] = []
     size = 0
-    for _, s in sorted(rated, key=lambda x: (-x[0], x[1])):
+    for s in sorted(rated, key=lambda s: (-rated[s], s)):
         if any(a.startswith(s) or s.startswith(a) for a in telling):
             continue
+        # The longest continuation that is hardly rarer makes the longer match.
+        longer = [x for x in rated if x.startswith(s) and t[x] >= 0.9 * t[s]]
+        s = max(longer, key=lambda x: (len(x), x))
         if size + len(s) > TOXIC_BYTES:
             break
         telling.append(s)
@@ -149,6 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     if not sample[0] or not sample[1]:
         return None
     # Even places make the dictionaries, odd ones the calibration.
+    sample = {c: without_copies(texts) for c, texts in sample.items()}
     ordinary, toxic = train_dictionaries(sample[1][::2], sample[0][::2])
     meter = GainMeter(ordinary, toxic)
     rest = [(t, c) for c in (0, 1) for t in sample[c][1::2] or sample[c]]
