@@ -5,54 +5,60 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+def _floored(cap: int | None, floor: int) -> int | None:
+    return None if cap is None else max(cap, floor)
+
+
 @dataclass(frozen=True)
 class HarvestConfig:
-    """Turning change events into shards. ``None`` for a cap means no cap (history backfill)."""
+    """Turning change events into shards. ``None`` for a cap means no cap, which is the default."""
 
-    max_changes: int | None = 2000
-    max_diffs: int | None = 400
-    hard_cap: int | None = 50_000
+    max_changes: int | None = None
+    max_diffs: int | None = None
+    hard_cap: int | None = None
     include_non_reverts: bool = True
     source_prefix: str = "harvest"
     easy_negative_rate: float = 0.2
     min_context_score: int = 4
     auto_sampling: bool = True
+    # Tags written to a shard row.
+    max_tags: int | None = None
 
     @property
     def scan_cap(self) -> int | None:
-        caps = [c for c in (self.max_changes, self.hard_cap and max(self.hard_cap, 1000)) if c is not None]
+        caps = [c for c in (self.max_changes, _floored(self.hard_cap, 1000)) if c is not None]
         return min(caps) if caps else None
 
 
 @dataclass(frozen=True)
 class CollectConfig:
-    """Which sources feed the training table, and their caps.
+    """Which sources feed the training table, and their caps (``None``: no cap).
 
     The change cap of the human-revert stage and of the recent-changes stage are
     separate settings, so enabling one stage never changes the other.
     """
 
     default_lang: str = "fr"
-    change_events_limit: int | None = 30_000
+    change_events_limit: int | None = None
     recent_changes: bool = True
-    recent_changes_max: int = 0
-    recent_changes_hard_cap: int = 5000
+    recent_changes_max: int | None = None
+    recent_changes_hard_cap: int | None = None
     human_reverts: bool = True
     human_revert_days: int = 30
-    human_revert_max_changes: int = 4000
-    human_revert_max_diffs: int = 400
+    human_revert_max_changes: int | None = None
+    human_revert_max_diffs: int | None = None
 
     @property
-    def recent_changes_cap(self) -> int:
-        return self.recent_changes_max or max(self.recent_changes_hard_cap, 100)
+    def recent_changes_cap(self) -> int | None:
+        return self.recent_changes_max or _floored(self.recent_changes_hard_cap, 100)
 
     @property
-    def revert_scan(self) -> tuple[int, int, int]:
+    def revert_scan(self) -> tuple[int, int | None, int | None]:
         """(days, changes, diffs) with their floors applied."""
         return (
             max(self.human_revert_days, 1),
-            max(self.human_revert_max_changes, 100),
-            max(self.human_revert_max_diffs, 50),
+            _floored(self.human_revert_max_changes, 100),
+            _floored(self.human_revert_max_diffs, 50),
         )
 
 

@@ -118,22 +118,28 @@ def context_score(blob: Column, comment: Column, tags: Column) -> Column:
 
 # --- identity and sampling of a candidate row ---------------------------------------
 
-def key_part(c: Column, max_len: int = 600) -> Column:
-    return F.substring(collapse(F.lower(strip(null_to_empty(c)))), 1, max_len)
+# Characters of (time, user, other text fields) that enter a short key.
+SHORT_KEY = (40, 80, 600)
 
 
-def dedup_key(row: dict[str, Column]) -> Column:
-    """SHA-1 of the row's identity; text fields enter with their first 600 characters."""
+def key_part(c: Column, max_len: int | None = None) -> Column:
+    whole = collapse(F.lower(strip(null_to_empty(c))))
+    return whole if max_len is None else F.substring(whole, 1, max_len)
+
+
+def dedup_key(row: dict[str, Column], lengths: tuple[int | None, int | None, int | None] = (None, None, None)) -> Column:
+    """SHA-1 of the row's identity. Whole fields enter it, or their first characters (``SHORT_KEY``)."""
+    time, user, text = lengths
     parts = [
         null_to_empty(row["lang"]),
         F.coalesce(row["revid"], F.lit(0)).cast("string"),
         F.coalesce(row["old_revid"], F.lit(0)).cast("string"),
-        key_part(row["timestamp"], 40),
-        key_part(row["title"]),
-        key_part(row["user"], 80),
-        key_part(row["comment"]),
-        key_part(row["added_text"]),
-        key_part(row["removed_text"]),
+        key_part(row["timestamp"], time),
+        key_part(row["title"], text),
+        key_part(row["user"], user),
+        key_part(row["comment"], text),
+        key_part(row["added_text"], text),
+        key_part(row["removed_text"], text),
     ]
     return F.sha1(F.concat_ws("||", *parts).cast("binary"))
 

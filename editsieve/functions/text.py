@@ -143,7 +143,7 @@ def payload_html(compare: Column) -> Column:
 
 
 def diff_texts(html_col: Column, mode: str) -> tuple[Column, Column]:
-    """(added, removed) text of a diff under one of four extraction modes."""
+    """(added, removed) text of a diff under one of four extraction modes; ``raw:n`` keeps n characters."""
     if mode == "unescaped":
         return strip_html(unescape_html(added_cells(html_col))), strip_html(unescape_html(deleted_cells(html_col)))
     if mode == "collapsed":
@@ -151,5 +151,7 @@ def diff_texts(html_col: Column, mode: str) -> tuple[Column, Column]:
     if mode == "whole":
         return strip_html(html_col), F.lit("")
     if mode == "raw":
-        return F.substring(null_to_empty(html_col), 1, 4000), F.lit("")
+        return null_to_empty(html_col), F.lit("")
+    if mode.startswith("raw:"):
+        return F.substring(null_to_empty(html_col), 1, int(mode.removeprefix("raw:"))), F.lit("")
     raise ValueError(f"unknown diff mode: {mode}")

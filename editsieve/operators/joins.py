@@ -6,33 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .scale import first_per_key, settle
+from .scale import null_safe_join, settle
 
 KEY = ["lang", "dedup_key"]
 
 
 def attach_diffs(
     changes: DataFrame, payloads: DataFrame, mode: str = "collapsed", how: str = "left", wanted: Column | None = None,
-    small_batch: bool = False,
 ) -> DataFrame:
     """Join each change with its compare payload and extract (added, removed) text.
 
     ``how='inner'`` drops changes without a payload, ``'left'`` keeps them with empty text.
     Rows that want no diff get a negative join id made from their own columns, so they match
-    nothing and still spread evenly (ids are positive). Text is extracted on the payload
-    side, before the join, so raw HTML is never shuffled. With ``small_batch`` the payload table
-    is first reduced to the ids of ``changes`` (a written table the planner knows the size of).
+    nothing and still spread evenly (ids are positive). Text is extracted in the scan of the payloads,
+    so raw HTML is never shuffled; then only the payloads that ``changes`` asks for go on (an inner join
+    with their distinct ids: a semi join would be pushed below the extraction). Of several payloads
+    with the same ids the smallest pair of texts counts. Pass a settled table of changes, it is read twice.
     """
     keys = ["old_revid", "revid"]
-    if small_batch:
-        payloads = payloads.join(changes.select(*keys).distinct(), keys, "left_semi")
-    unique = first_per_key(payloads.select(*keys, "compare_html"), keys, [F.col("compare_html")])
+    wanted = F.lit(True) if wanted is None else wanted
+    asked = changes.where(wanted).select(*keys).distinct()
     added, removed = tx.diff_texts(F.col("compare_html"), mode)
-    diffs = unique.select(
-        F.col("old_revid").alias("__old"), F.col("revid").alias("__new"), added.alias("added_text"),
-        removed.alias("removed_text"),
+    texts = payloads.select(*keys, added.alias("added_text"), removed.alias("removed_text")).join(asked, keys)
+    least = F.min(F.struct("added_text", "removed_text")).alias("d")
+    diffs = texts.groupBy(*keys).agg(least).select(
+        F.col("old_revid").alias("__old"), F.col("revid").alias("__new"), "d.added_text", "d.removed_text"
     )
-    wanted = F.lit(True) if wanted is None else wanted
     spread = -F.abs(F.shiftright(F.xxhash64("title", "user", "timestamp", "revid"), 1)) - 1
     left = changes.drop("added_text", "removed_text").withColumn("__id", F.when(wanted, F.col("revid")).otherwise(spread))
     joined = left.join(diffs, (F.col("old_revid") == F.col("__old")) & (F.col("__id") == F.col("__new")), how)
@@ -47,8 +46,8 @@ def payload_table(raw: DataFrame) -> DataFrame:
 
 
 def drop_known_keys(rows: DataFrame, index: DataFrame) -> DataFrame:
-    """Rows whose key is not in the index."""
-    return rows.join(index.select(*KEY), KEY, "left_anti")
+    """Rows whose key is not in the index. A null language is a language like any other."""
+    return flag_known_keys(settle(rows, "rows"), index).where(~F.col("known")).drop("known")
 
 
 def flag_known_keys(rows: DataFrame, index: DataFrame) -> DataFrame:
@@ -58,6 +57,7 @@ def flag_known_keys(rows: DataFrame, index: DataFrame) -> DataFrame:
     the batch is small on disk the planner broadcasts the batch's keys and the index is only
     scanned; when both are large, both shuffle by the (uniform) hash key.
     """
-    hits = settle(index.select(*KEY).join(rows.select(*KEY), KEY, "left_semi").distinct(), "known")
-    joined = rows.join(hits.withColumn("known", F.lit(True)), KEY, "left")
+    asked = settle(rows.select(*KEY).distinct(), "asked")
+    hits = settle(null_safe_join(index.select(*KEY), asked, KEY, "left_semi").distinct(), "known")
+    joined = null_safe_join(rows, hits.withColumn("known", F.lit(True)), KEY, "left")
     return joined.withColumn("known", F.coalesce("known", F.lit(False)))

@@ -23,12 +23,8 @@ from pyspark.sql.window import Window
 
 # Rows one task may sort when the last undecided part of a group is ranked.
 TASK_ROWS = 1_000_000
-# A key counts as hot when it holds more than 1/HOT_SHARE of all rows, so at most
-# HOT_SHARE keys can be hot whatever the data.
-HOT_SHARE = 1_000
-SALTS = 256
-# Below this many distinct keys the counts table is left to the planner as it is.
-SMALL_KEYS = 200_000
+# Rows of one key from which it counts as hot: what one task may get of a key in a join.
+HOT_ROWS = 5_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -92,35 +88,25 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], *
 
 # --- size of each row's group ----------------------------------------------------------
 
-def attach_count(
-    df: DataFrame, key: Column, out: str, *, small_keys: int = SMALL_KEYS, hot_share: int = HOT_SHARE
-) -> DataFrame:
-    """Add the number of rows that share ``key`` (null is a group of its own)."""
+def attach_count(df: DataFrame, key: Column, out: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add the number of rows that share ``key`` (null is a group of its own).
+
+    Counts are combined on the map side. Keys with more than ``hot_rows`` rows are a small written table; their rows take
+    the count from it where they are and never meet in one task. All other rows join the table of counts.
+    """
     keyed = df.withColumn("__k", key)
     counts = settle(keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")), "counts")
-    if counts.count() <= small_keys:
-        return _take_count(null_safe_join(keyed, counts, ["__k"], "left"), F.col("__n"), out)
-    return _attach_split(keyed, counts, out, hot_share)
-
-
-def _attach_split(keyed: DataFrame, counts: DataFrame, out: str, hot_share: int) -> DataFrame:
-    total = counts.agg(F.sum("__n")).first()[0]
-    hot = counts.where(F.col("__n") * hot_share > F.lit(total)).withColumnRenamed("__n", "__hot")
-    # At most hot_share keys can each hold more than 1/hot_share of the rows.
-    marked = null_safe_join(keyed, F.broadcast(hot), ["__k"], "left")
-    # Hot rows already have their count: spread them with a salt and let them match nothing.
-    salted = marked.withColumn(
-        "__salt",
-        F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(
-            F.lit(1) + F.pmod(F.xxhash64(*(c for c in keyed.columns if c != "__k")), F.lit(SALTS)).cast("int")
-        ),
-    )
-    joined = null_safe_join(salted, counts.withColumn("__salt", F.lit(0)), ["__k", "__salt"], "left")
-    return _take_count(joined, F.coalesce("__hot", "__n"), out)
+    hot = settle(counts.where(F.col("__n") > hot_rows), "hot-counts")
+    if hot.isEmpty():
+        return _take_count(null_safe_join(keyed, counts, ["__k"], "left"), out)
+    looked = null_safe_join(keyed, hot.withColumnRenamed("__n", "__hot"), ["__k"], "left")
+    there = looked.where(F.col("__hot").isNotNull()).withColumnRenamed("__hot", "__n")
+    rest = null_safe_join(looked.where(F.col("__hot").isNull()).drop("__hot"), counts, ["__k"], "left")
+    return _take_count(there.unionByName(rest), out)
 
 
-def _take_count(joined: DataFrame, value: Column, out: str) -> DataFrame:
-    return joined.withColumn(out, value).drop("__k", "__n", "__hot", "__salt")
+def _take_count(joined: DataFrame, out: str) -> DataFrame:
+    return joined.withColumn(out, F.col("__n")).drop("__k", "__n")
 
 
 # --- first n rows of each group -----------------------------------------------------------
@@ -210,17 +196,25 @@ def keep_first(
     return mark_first(df, cuts, group, order, "__in").where("__in").drop("__in")
 
 
-def newest_global(df: DataFrame, key: str, n: int, step: int = 1 << 16) -> DataFrame:
+def newest_global(df: DataFrame, key: str, n: int) -> DataFrame:
     """``n`` rows with the largest unique integer ``key``.
 
-    A histogram over key ranges finds a floor that still leaves at least ``n`` rows; the
-    floor is a scalar in a plain filter, so the scan skips older data before the top-k.
+    The floor that leaves ``n`` rows is found from the top bits down: each pass counts rows per value of the next 16
+    bits within the band found so far, so no pass has more than 65 536 groups. The floor is a scalar in a
+    plain filter, which reaches the scan.
     """
-    band = F.floor(F.col(key) / F.lit(step)).cast("bigint")
-    hist = df.groupBy(band.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
-    newer = Window.orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, 0)
-    reached = hist.withColumn("__newer", F.sum("__n").over(newer) - F.col("__n")).where(F.col("__newer") < n)
-    floor_value = reached.agg((F.min("__b") * F.lit(step)).cast("bigint")).scalar()
+    floor_value, need, scope = None, n, df
+    for shift in (48, 32, 16, 0):
+        band = F.shiftright(F.col(key).cast("bigint"), shift)
+        hist = scope.groupBy(band.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+        newer = Window.orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, 0)  # at most 65 536 rows
+        reached = hist.withColumn("__upto", F.sum("__n").over(newer)).where(F.col("__upto") >= need)
+        found = reached.orderBy(F.desc("__b")).first()
+        if found is None:
+            return df.orderBy(F.desc(key)).limit(n)
+        need -= found["__upto"] - found["__n"]
+        floor_value = found["__b"] << shift
+        scope = scope.where(band == found["__b"])
     return df.where(F.col(key) >= floor_value).orderBy(F.desc(key)).limit(n)
 
 

@@ -101,7 +101,7 @@ def after_cursor(df: DataFrame, state: DataFrame | None) -> DataFrame:
         tx.parse_ts(F.col("last_timestamp")).alias("__last_ts"),
         F.coalesce("last_revid", F.lit(0)).alias("__last_revid"),
     )
-    j = df.join(s, F.col("lang") == F.col("__lang"), "left")
+    j = df.join(s, F.col("lang").eqNullSafe(F.col("__lang")), "left")
     ts, last = F.col("ts"), F.col("__last_ts")
     newer = (ts > last) | ((ts == last) & (F.coalesce("revid", F.lit(0)) > F.col("__last_revid")))
     return j.where(ts.isNull() | last.isNull() | newer).drop("__lang", "__last_ts", "__last_revid")

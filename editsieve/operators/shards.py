@@ -11,7 +11,7 @@ from ..functions import text as tx
 from ..schemas import SHARD_COLUMNS, SIMPLE_SHARD_COLUMNS
 from . import select as sel
 from .joins import KEY, attach_diffs, flag_known_keys
-from .scale import first_per_key, settle
+from .scale import first_per_key, null_safe_join, settle
 
 IDENTITY = ("lang", "revid", "old_revid", "timestamp", "title", "user", "comment", "added_text", "removed_text")
 
@@ -43,7 +43,6 @@ def candidates(
     cfg: HarvestConfig,
     run_ts: str,
     mode: str = "collapsed",
-    small_batch: bool = False,
 ) -> DataFrame:
     """Cap -> cursor -> revert switch -> diff budget -> diff text, in that order."""
     # The caps below look at the changes several times; they carry no diff text yet.
@@ -53,13 +52,11 @@ def candidates(
     if not cfg.include_non_reverts:
         df = sel.reverts_only(df)
     df = sel.mark_budget(df, cfg.max_diffs, "tie")
-    if small_batch:
-        df = settle(df, "batch")
-    return attach_diffs(df, payloads, mode, "left", F.col("in_budget"), small_batch)
+    return attach_diffs(settle(df, "batch"), payloads, mode, "left", F.col("in_budget"))
 
 
-def with_dedup_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("dedup_key", fx.dedup_key({c: F.col(c) for c in IDENTITY}))
+def with_dedup_key(df: DataFrame, lengths: tuple[int | None, int | None, int | None] = (None, None, None)) -> DataFrame:
+    return df.withColumn("dedup_key", fx.dedup_key({c: F.col(c) for c in IDENTITY}, lengths))
 
 
 def dedup_newest(df: DataFrame, tie: str = "tie") -> DataFrame:
@@ -88,24 +85,44 @@ def score_rows(df: DataFrame, cfg: HarvestConfig) -> DataFrame:
 
 def stage_shard(
     changes: DataFrame, payloads: DataFrame, index: DataFrame | None, state: DataFrame | None,
-    cfg: HarvestConfig, run_ts: str, small_batch: bool = False,
+    cfg: HarvestConfig, run_ts: str,
 ) -> DataFrame:
-    """Every distinct candidate with its fate, written once.
+    """Every key with its fate, written once.
 
-    ``copies``/``diffs_spent`` say how many candidates a row stands for and how many of them
-    used the diff budget; ``known`` rows are in the index already; a null bucket is sampled out.
+    Copies of a key are looked at from the newest on. One that is sampled out does not claim the key, so the
+    newest copy that is *not* sampled out stands for it (or the newest, if all are). ``copies`` says how many
+    candidates a row stands for, ``sampled_copies`` how many of them were sampled out before the key was claimed,
+    ``diffs_spent`` how many used the diff budget; ``known`` keys are in the index already; a null bucket is sampled out.
     """
-    found = with_dedup_key(candidates(changes, payloads, state, cfg, run_ts, small_batch=small_batch))
-    order = sel.newest_order(F.col("ts"), F.col("revid"), F.col("tie"))
-    unique = first_per_key(
-        found, KEY, order, copies=F.count(F.lit(1)), diffs_spent=F.sum(F.col("in_budget").cast("bigint"))
+    found = with_dedup_key(candidates(changes, payloads, state, cfg, run_ts))
+    scored = score_rows(found, cfg).withColumn("source", F.concat(F.lit(cfg.source_prefix + "_"), "lang"))
+    newest = sel.newest_order(F.col("ts"), F.col("revid"), F.col("tie"))
+    out = F.col("sampling_bucket").isNull()
+    scored = settle(scored.withColumn("tags", written_tags(cfg)), "scored")
+    unique = settle(
+        first_per_key(
+            scored, KEY, [out.cast("int"), *newest], copies=F.count(F.lit(1)),
+            diffs_spent=F.sum(F.col("in_budget").cast("bigint")), copies_out=F.count_if(out),
+        ),
+        "unique",
     )
-    scored = score_rows(unique, cfg).withColumn("source", F.concat(F.lit(cfg.source_prefix + "_"), "lang"))
-    scored = scored.withColumn("tags", F.array_join(F.slice("tags", 1, 20), ","))
-    staged = settle(scored, "staged")
+    # Only keys with both kinds of copies need the order of their copies.
+    place = F.struct(*(o.alias(f"o{i}") for i, o in enumerate(newest)))
+    both = unique.where(~out & (F.col("copies_out") > 0)).select(*KEY, place.alias("kept_at"))
+    before = null_safe_join(scored.where(out).select(*KEY, place.alias("at")), settle(both, "both"), KEY, "inner")
+    counted = before.groupBy(*KEY).agg(F.count_if(F.col("at") < F.col("kept_at")).alias("newer_out"))
+    staged = null_safe_join(unique, counted, KEY, "left").withColumn(
+        "sampled_copies", F.when(out, F.col("copies")).otherwise(F.coalesce("newer_out", F.lit(0)))
+    )
+    staged = settle(staged.drop("newer_out", "copies_out"), "staged")
     return staged.withColumn("known", F.lit(False)) if index is None else flag_known_keys(staged, index)
 
 
+def written_tags(cfg: HarvestConfig) -> Column:
+    tags = F.col("tags") if cfg.max_tags is None else F.slice("tags", 1, cfg.max_tags)
+    return F.array_join(tags, ",")
+
+
 def shard_rows(staged: DataFrame) -> DataFrame:
     return staged.where(~F.col("known") & F.col("sampling_bucket").isNotNull()).select(*SHARD_COLUMNS)
 
@@ -118,13 +135,15 @@ def run_counters(staged: DataFrame, index: DataFrame | None = None) -> DataFrame
         n.alias("rows_written"),
         F.sum("diffs_spent").alias("diffs_done"),
         n.alias("changes_seen"),
-        F.sum(F.when(F.col("known"), F.col("copies")).otherwise(F.col("copies") - 1)).alias("dedup_dropped"),
-        F.sum(F.when(~F.col("known") & F.col("sampling_bucket").isNull(), 1).otherwise(0)).alias("sampled_dropped"),
+        F.sum(
+            F.when(F.col("known"), F.col("copies")).otherwise(F.col("copies") - F.col("sampled_copies") - written.cast("int"))
+        ).alias("dedup_dropped"),
+        F.sum(F.when(~F.col("known"), F.col("sampled_copies")).otherwise(0)).alias("sampled_dropped"),
     )
     if index is None:
         return out.withColumn("dedup_index_size", F.col("rows_written"))
     size = index.groupBy("lang").agg(F.count(F.lit(1)).alias("__size"))
-    joined = out.join(size, "lang", "left")
+    joined = null_safe_join(out, size, ["lang"], "left")
     return joined.withColumn("dedup_index_size", F.coalesce("__size", F.lit(0)) + F.col("rows_written")).drop("__size")
 
 
@@ -145,14 +164,14 @@ def build_shard(
 
 def build_shard_simple(
     changes: DataFrame, payloads: DataFrame, state: DataFrame | None = None,
-    cfg: HarvestConfig = HarvestConfig(), run_ts: str = "1970-01-01T00:00:00Z",
+    cfg: HarvestConfig = HarvestConfig(), run_ts: str = "1970-01-01T00:00:00Z", raw_chars: int | None = None,
 ) -> DataFrame:
-    """Variant without dedup, score or sampling; the diff text is the raw HTML's first 4000 characters."""
-    df = candidates(changes, payloads, state, cfg, run_ts, mode="raw")
+    """Variant without dedup, score or sampling; the diff text is the raw HTML, or its first ``raw_chars`` characters."""
+    df = candidates(changes, payloads, state, cfg, run_ts, mode="raw" if raw_chars is None else f"raw:{raw_chars}")
     return df.withColumns(
         {
             "label": F.when(tx.is_revert(F.col("comment"), F.col("tags")), 1).otherwise(0),
             "source": F.concat(F.lit(cfg.source_prefix + "_"), "lang"),
-            "tags": F.array_join(F.slice("tags", 1, 20), ","),
+            "tags": written_tags(cfg),
         }
     ).select(*SIMPLE_SHARD_COLUMNS)

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from ..config import CollectConfig
 from ..functions import text as tx
 from ..operators import select as sel
 from ..operators.joins import attach_diffs, payload_table
-from ..operators.scale import newest_global
+from ..operators.scale import newest_global, settle
 from ..operators.shards import prepare_changes
 from ..schemas import CHANGE, CHANGE_EVENT, DIFF_PAYLOAD, METADATA, SAMPLE, SAMPLE_COLUMNS
 
@@ -42,6 +44,10 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return or_empty(spark, lambda: spark.read.text(path, wholetext=True), _LINES)
 
 
+# A JSON document of more bytes may not fit in one variant value.
+VARIANT_BYTES = 100_000_000
+TOO_LARGE = "a JSON map of more than 100 MB cannot be parsed as one document: land it as one entry per line"
+
 # --- tolerant JSON -----------------------------------------------------------------------------
 
 def is_object(v: Column) -> Column:
@@ -88,7 +94,11 @@ def parse_corpus(lines: DataFrame, run_ts: str, default_lang: str = "fr") -> Dat
 
 def parse_bot_db(documents: DataFrame, lang: str, run_ts: str) -> DataFrame:
     """JSON objects keyed by change id; entries that are not objects are skipped."""
-    roots = documents.select(F.try_parse_json(F.col("value")).alias("root")).where(is_object(F.col("root")))
+    # A document beyond what one variant holds would look like a malformed one: say so instead of skipping it.
+    parsed = F.try_parse_json(F.col("value"))
+    too_large = parsed.isNull() & (F.octet_length("value") > F.lit(VARIANT_BYTES))
+    root = F.when(too_large, F.raise_error(F.lit(TOO_LARGE)).cast("variant")).otherwise(parsed)
+    roots = documents.select(root.alias("root")).where(is_object(F.col("root")))
     entries = documents.sparkSession.sql(
         "SELECT e.value AS v FROM {roots}, LATERAL variant_explode(root) AS e(pos, key, value)", roots=roots
     ).where(is_object(F.col("v")))
@@ -119,7 +129,7 @@ def newest_change_events(events: DataFrame, limit: int | None) -> DataFrame:
     return events if limit is None else newest_global(events, "id", limit)
 
 
-def parse_change_events(events: DataFrame, run_ts: str, limit: int | None = 30_000, default_lang: str = "fr") -> DataFrame:
+def parse_change_events(events: DataFrame, run_ts: str, limit: int | None = None, default_lang: str = "fr") -> DataFrame:
     """Newest events as samples; lengths, score and patterns are written out as text."""
     score = F.format_string("%.3f", F.coalesce("score", F.lit(0.0)))
     length = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
@@ -143,17 +153,45 @@ def parse_change_events(events: DataFrame, run_ts: str, limit: int | None = 30_0
     )
 
 
+def _shard_files(spark: SparkSession, path: str, label: T.DataType) -> DataFrame:
+    fields = [T.StructField(f.name, label if f.name == "label" else f.dataType) for f in SAMPLE.fields]
+    reader = spark.read.schema(T.StructType(fields)).option("ignoreCorruptFiles", "true").option("pathGlobFilter", "*.parquet")
+    return reader.parquet(path).select(*SAMPLE_COLUMNS, F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"))
+
+
+def _readable(files: DataFrame) -> DataFrame:
+    """Files that give rows. The condition keeps the label column in the scan, whose type is in question."""
+    labels = files.groupBy("file_path").agg(F.count("label").alias("n"))
+    return labels.where("n >= 0").select("file_path")
+
+
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """Shard files with the name of the file each row came from; unreadable files are skipped."""
+    """Shard files with the name of the file each row came from; unreadable files are skipped (``skipped_shards`` lists them).
+
+    A writer stores a label column that has a null as DOUBLE, and a file of another type than asked for counts as
+    unreadable. So files are read with a whole-number label, and those that gave no row are read again with a
+    floating one. Which files gave rows is seen from their label column alone.
+    """
     def read() -> DataFrame:
-        files = (
-            spark.read.schema(_SHARD_READ).option("ignoreCorruptFiles", "true").option("pathGlobFilter", "*.parquet")
-        ).parquet(path)
-        return files.select(*SAMPLE_COLUMNS, F.col("_metadata.file_name").alias("file_name"))
+        whole, floating = (_shard_files(spark, path, t) for t in (T.LongType(), T.DoubleType()))
+        seen, also = _readable(whole), _readable(floating)
+        more = floating.join(also.join(seen, "file_path", "left_anti"), "file_path", "left_semi")
+        both = (df.withColumn("label", F.col("label").cast("bigint")) for df in (whole, more))
+        return reduce(DataFrame.unionByName, both).drop("file_path")
 
     return or_empty(spark, read, T.StructType([*_SHARD_READ.fields, T.StructField("file_name", T.StringType())]))
 
 
+def skipped_shards(spark: SparkSession, path: str) -> list[str]:
+    """Files under ``path`` that give no row under either label type."""
+    found = set()
+    for kind in (T.LongType(), T.DoubleType()):
+        found |= {r.file_path for r in _readable(_shard_files(spark, path, kind)).collect()}
+    listed = spark.read.schema(_SHARD_READ).option("pathGlobFilter", "*.parquet").parquet(path).inputFiles()
+    ends = {f.rsplit("/", 1)[-1] for f in found}
+    return sorted(f for f in listed if f.rsplit("/", 1)[-1] not in ends)
+
+
 def parse_shards(shards: DataFrame, run_ts: str, default_lang: str = "fr") -> DataFrame:
     text = {c: tx.null_to_empty(F.col(c)) for c in ("title", "user", "comment", "added_text", "removed_text")}
     named = F.nullif(tx.null_to_empty(F.col("source")), F.lit(""))
@@ -180,7 +218,7 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 def recent_changes(changes: DataFrame, payloads: DataFrame, cap: int | None, run_ts: str) -> DataFrame:
     """Newest edits of each language, labelled by the revert rule; the stripped diff is the added text."""
-    df = sel.limit_newest(prepare_changes(changes, run_ts), cap, "tie")
+    df = settle(sel.limit_newest(prepare_changes(changes, run_ts), cap, "tie"), "recent")
     df = attach_diffs(df, payloads, "whole", "left", sel.has_revisions(F.col("revid"), F.col("old_revid")))
     revert = tx.is_revert(F.col("comment"), F.col("tags"))
     return sel.canonical(df.withColumns({"label": F.when(revert, 1).otherwise(0), "source": F.lit("recentchanges")}))
@@ -196,7 +234,7 @@ def human_reverts(
     now = F.lit(run_ts).cast("timestamp")
     df = sel.within_days(prepare_changes(changes, run_ts), days, now)
     df = sel.valid_revision(sel.reverts_only(sel.limit_newest(df, max_changes, "tie")))
-    df = attach_diffs(df, payloads, "unescaped", "inner")
+    df = attach_diffs(settle(df, "reverts"), payloads, "unescaped", "inner")
     df = sel.swap_texts(sel.limit_newest(df, max_diffs, "tie"))
     return sel.canonical(df.withColumns({"label": F.lit(1), "source": F.lit("human_revert_api")}))
 

@@ -19,7 +19,7 @@ from ..functions.text import parse_ts
 from ..operators import select as sel
 from ..operators import shards as sh
 from ..operators.joins import KEY, drop_known_keys
-from ..operators.scale import first_per_key
+from ..operators.scale import first_per_key, null_safe_join
 from ..schemas import CHANGE
 from ..sources import sinks
 from ..sources.readers import or_empty
@@ -62,12 +62,12 @@ def harvest_batch(
         run = run_name(batch_id)
         index = earlier(sinks.read_shard_table(spark, shards), run).select(*KEY)
         cursor = sinks.read_cursor_state(spark, state, before=run) if use_cursor else None
-        staged = sh.stage_shard(batch, payloads, index, cursor, cfg, run_ts, small_batch=True)
+        staged = sh.stage_shard(batch, payloads, index, cursor, cfg, run_ts)
         rows = sh.shard_rows(staged)
         sinks.write_shards(rows, shards, run)
         counts = sh.run_counters(staged, index)
         counts.write.mode("overwrite").parquet(f"{counters}/run={run}")
-        full = sh.newest_cursor(rows).join(counts, "lang")
+        full = null_safe_join(sh.newest_cursor(rows), counts, ["lang"], "inner")
         sinks.append_cursor_state(full.withColumn("updated_at", F.lit(run_ts)), state, run)
 
     return handle

@@ -133,7 +133,12 @@ def drop_null_labels(spark, sf_dir):
 
 @query(over_edits("SELECT CAST(count(*) AS BIGINT) AS n, count(*) >= 1000 AS enough FROM edits"))
 def guard_min_rows(spark, sf_dir):
-    return edits(spark, sf_dir).agg(F.count(F.lit(1)).alias("n")).withColumn("enough", F.col("n") >= 1000)
+    df = edits(spark, sf_dir)
+    try:
+        passed = sel.guard_min_rows(df, 1000).agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("enough"))
+    except ValueError:
+        passed = df.agg(F.count(F.lit(1)).alias("n"), F.lit(False).alias("enough"))
+    return passed
 
 
 # --- joins ------------------------------------------------------------------------------
@@ -176,7 +181,7 @@ _REMOVED = s.strip_html_collapse(s.cells("html", "diff-deletedline"))
  SELECT e.revid, e.source, coalesce(d.a, '') AS added_text, coalesce(d.r, '') AS removed_text
  FROM edits e LEFT JOIN d ON d.old_revid = e.old_revid AND d.revid = e.revid"""))
 def join_change_to_diff(spark, sf_dir):
-    out = joins.attach_diffs(edits(spark, sf_dir), payloads(spark, sf_dir), "collapsed", "left")
+    out = joins.attach_diffs(settle(edits(spark, sf_dir), "edits"), payloads(spark, sf_dir), "collapsed", "left")
     return out.select(*ID, "added_text", "removed_text")
 
 

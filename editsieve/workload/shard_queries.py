@@ -23,9 +23,9 @@ def _keyed(spark, sf_dir):
     return sh.with_dedup_key(edits(spark, sf_dir))
 
 
-@query(over_edits(_KEYED + " SELECT revid, source, dedup_key FROM k"))
+@query(over_edits(f" SELECT revid, source, {s.dedup_key(short=True)} AS dedup_key FROM edits"))
 def dedup_key(spark, sf_dir):
-    return _keyed(spark, sf_dir).select(*ID, "dedup_key")
+    return sh.with_dedup_key(edits(spark, sf_dir), fx.SHORT_KEY).select(*ID, "dedup_key")
 
 
 _KEPT = _KEYED + """, o AS (SELECT *, row_number() OVER (PARTITION BY lang, dedup_key ORDER BY ts DESC, revid DESC, source) AS rn FROM k)"""
@@ -83,17 +83,18 @@ def sampling_bucket(spark, sf_dir):
 
 # --- whole chain ---------------------------------------------------------------------------
 
-BACKFILL = HarvestConfig(max_changes=None, hard_cap=None, max_diffs=150)
+BACKFILL = HarvestConfig(max_diffs=150)
+SIMPLE = HarvestConfig(max_diffs=150, max_tags=20)
 
 
 def changes(spark, sf_dir):
-    """Edits as landed change events. A second delivery carries one tag more, so it is another
-    record with the same dedup key."""
+    """Edits as landed change events. A first delivery that has a second one lacks its tags, so the two are
+    records with the same dedup key that fall into different sampling buckets."""
     df = edits(spark, sf_dir)
-    again = F.array_append("tags", F.lit("second delivery"))
+    twice = (F.col("event_type") == "purchase") & ~F.col("source").endswith("_dup")
     return df.select(
         "lang", F.lit("edit").alias("type"), "title", "user", "comment", "timestamp",
-        F.when(F.col("source").endswith("_dup"), again).otherwise(F.col("tags")).alias("tags"), "revid", "old_revid",
+        F.when(twice, F.array().cast("array<string>")).otherwise(F.col("tags")).alias("tags"), "revid", "old_revid",
         "event_type",
     )
 
@@ -103,13 +104,14 @@ def seen_index(spark, sf_dir):
     from ..operators.joins import attach_diffs
 
     df = changes(spark, sf_dir).where(F.col("event_type") == "signup").drop("event_type")
-    keyed = sh.with_dedup_key(attach_diffs(sh.prepare_changes(df, s.RUN_TS), payloads(spark, sf_dir)))
+    ready = settle(sh.prepare_changes(df, s.RUN_TS), "seen")
+    keyed = sh.with_dedup_key(attach_diffs(ready, payloads(spark, sf_dir)))
     return settle(keyed.select("lang", "dedup_key").distinct(), "index")
 
 
 _TIE = s.row_hash(["title", "u", "comment", "tsx", "tag_text", "old_revid"])
 _CHANGES = f""", ch0 AS (SELECT DISTINCT lang, {s.safe('title')} AS title, {s.safe('"user"')} AS u, {s.safe('comment')} AS comment,
- "timestamp" AS tsx, CASE WHEN suffix(source, '_dup') THEN list_append(tags, 'second delivery') ELSE tags END AS tags,
+ "timestamp" AS tsx, CASE WHEN event_type = 'purchase' AND NOT suffix(source, '_dup') THEN CAST([] AS VARCHAR[]) ELSE tags END AS tags,
  revid, old_revid, event_type FROM edits),
  ch AS (SELECT *, CAST(to_json(tags) AS VARCHAR) AS tag_text FROM ch0),
  cht AS (SELECT *, {_TIE} AS tie FROM ch)"""
@@ -144,16 +146,19 @@ _INDEX = f""", idx AS (SELECT DISTINCT lang, {s.dedup_key('u', 'tsx', 'a', 'r')}
  WHERE c.event_type = 'signup'))"""
 _STAGED = over_edits(_OLD_STATE + _chain(_INC, 150, "p.a", "p.r") + _INDEX + f""",
  kk AS (SELECT *, {s.dedup_key('u', 'tsx')} AS dedup_key FROM txt),
- rn AS (SELECT *, row_number() OVER (PARTITION BY lang, dedup_key ORDER BY tsx DESC, revid DESC, tie) AS rn,
-   count(*) OVER (PARTITION BY lang, dedup_key) AS copies, sum(in_budget) OVER (PARTITION BY lang, dedup_key) AS spent FROM kk),
- un AS (SELECT *, (lang, dedup_key) IN (SELECT lang, dedup_key FROM idx) AS known, {s.BLOB} AS blob FROM rn WHERE rn = 1),
- uc AS (SELECT *, string_split(blob, '') AS ch FROM un),
+ kb AS (SELECT *, {s.BLOB} AS blob FROM kk),
+ uc AS (SELECT *, string_split(blob, '') AS ch FROM kb),
  sc AS (SELECT *, {s.context_score('blob', 'ch')} AS context_score FROM uc),
- bk AS (SELECT *, {_BUCKET} AS sampling_bucket FROM sc)""")
+ bc AS (SELECT *, {_BUCKET} AS sampling_bucket FROM sc),
+ rn AS (SELECT *, row_number() OVER (PARTITION BY lang, dedup_key ORDER BY tsx DESC, revid DESC, tie) AS rn,
+   count(*) OVER (PARTITION BY lang, dedup_key) AS copies, sum(in_budget) OVER (PARTITION BY lang, dedup_key) AS spent FROM bc),
+ kn AS (SELECT *, min(CASE WHEN sampling_bucket IS NOT NULL THEN rn END) OVER (PARTITION BY lang, dedup_key) AS claimed FROM rn),
+ bk AS (SELECT *, (lang, dedup_key) IN (SELECT lang, dedup_key FROM idx) AS known,
+   CASE WHEN claimed IS NULL THEN copies ELSE claimed - 1 END AS sampled_copies FROM kn WHERE rn = coalesce(claimed, 1))""")
 
 
 @query(_STAGED + f""" SELECT lang, title, u AS "user", comment, added_text, removed_text, {s.flag(s.IS_REVERT)} AS label,
- concat('harvest_', lang) AS source, tsx AS "timestamp", revid, old_revid, array_to_string(tags[1:20], ',') AS tags, context_score,
+ concat('harvest_', lang) AS source, tsx AS "timestamp", revid, old_revid, array_to_string(tags, ',') AS tags, context_score,
  sampling_bucket, dedup_key FROM bk WHERE NOT known AND sampling_bucket IS NOT NULL""")
 def build_shard(spark, sf_dir):
     return sh.build_shard(
@@ -165,8 +170,8 @@ def build_shard(spark, sf_dir):
 @query(_STAGED + """ SELECT lang, CAST(count(*) FILTER (WHERE NOT known AND sampling_bucket IS NOT NULL) AS BIGINT) AS rows_written,
  CAST(sum(spent) AS BIGINT) AS diffs_done,
  CAST(count(*) FILTER (WHERE NOT known AND sampling_bucket IS NOT NULL) AS BIGINT) AS changes_seen,
- CAST(sum(CASE WHEN known THEN copies ELSE copies - 1 END) AS BIGINT) AS dedup_dropped,
- CAST(count(*) FILTER (WHERE NOT known AND sampling_bucket IS NULL) AS BIGINT) AS sampled_dropped,
+ CAST(sum(CASE WHEN known THEN copies ELSE copies - sampled_copies - CASE WHEN claimed IS NULL THEN 0 ELSE 1 END END) AS BIGINT) AS dedup_dropped,
+ CAST(sum(CASE WHEN known THEN 0 ELSE sampled_copies END) AS BIGINT) AS sampled_dropped,
  CAST(count(*) FILTER (WHERE NOT known AND sampling_bucket IS NOT NULL)
    + (SELECT count(*) FROM idx WHERE idx.lang = bk.lang) AS BIGINT) AS dedup_index_size
  FROM bk GROUP BY lang""")
@@ -185,7 +190,7 @@ def agg_run_counters(spark, sf_dir):
  concat('harvest_', lang) AS source, tsx AS "timestamp", revid, old_revid, array_to_string(tags[1:20], ',') AS tags FROM txt"""))
 def build_shard_simple(spark, sf_dir):
     return sh.build_shard_simple(
-        changes(spark, sf_dir).drop("event_type"), payloads(spark, sf_dir), old_state(spark, sf_dir), BACKFILL, s.RUN_TS
+        changes(spark, sf_dir).drop("event_type"), payloads(spark, sf_dir), old_state(spark, sf_dir), SIMPLE, s.RUN_TS, raw_chars=4000
     )
 
 

@@ -105,9 +105,9 @@ _EVENTS = """SELECT CASE WHEN event_type = 'view' THEN 'fr' ELSE 'en' END AS lan
  FROM events ORDER BY event_id DESC LIMIT """
 
 
-@query(_EVENTS + "30000")
+@query(_EVENTS + "3000")
 def src_change_events(spark, sf_dir):
-    return rd.parse_change_events(change_events(spark, sf_dir), s.RUN_TS)
+    return rd.parse_change_events(change_events(spark, sf_dir), s.RUN_TS, 3000)
 
 
 @query("SELECT event_id, event_type, value FROM events ORDER BY event_id DESC LIMIT 3000")
@@ -142,9 +142,9 @@ _ORDER = "PARTITION BY lang ORDER BY tsx DESC, revid DESC, tie"
 
 @query(over_edits(_LANDED + f""" SELECT lang, title, u AS "user", comment, coalesce(CASE WHEN revid <> 0 AND old_revid <> 0 THEN
  {s.strip_html('html')} END, '') AS added_text, '' AS removed_text, {s.flag(s.IS_REVERT)} AS label, 'recentchanges' AS source,
- tsx AS "timestamp" FROM nw QUALIFY row_number() OVER ({_ORDER}) <= 5000"""))
+ tsx AS "timestamp" FROM nw QUALIFY row_number() OVER ({_ORDER}) <= 300"""))
 def src_recentchanges(spark, sf_dir):
-    return rd.recent_changes(landed(spark, sf_dir), landed_payloads(spark, sf_dir), 5000, s.RUN_TS)
+    return rd.recent_changes(landed(spark, sf_dir), landed_payloads(spark, sf_dir), 300, s.RUN_TS)
 
 
 _HUMAN = _LANDED + f""", win AS (SELECT * FROM nw WHERE strptime(tsx, '%Y-%m-%dT%H:%M:%SZ') BETWEEN

@@ -113,15 +113,19 @@ def unescape(x: str) -> str:
     return x
 
 
-def key_part(x: str, n: int = 600) -> str:
-    return f"substr({collapse(f'lower({strip(safe(x))})')}, 1, {n})"
+def key_part(x: str, n: int | None = None) -> str:
+    whole = collapse(f"lower({strip(safe(x))})")
+    return whole if n is None else f"substr({whole}, 1, {n})"
 
 
-def dedup_key(user: str = '"user"', ts: str = '"timestamp"', added: str = "added_text", removed: str = "removed_text") -> str:
+def dedup_key(
+    user: str = '"user"', ts: str = '"timestamp"', added: str = "added_text", removed: str = "removed_text", short: bool = False
+) -> str:
+    t, u, n = (40, 80, 600) if short else (None, None, None)
     return (
         f"sha1(concat({safe('lang')}, '||', CAST(coalesce(revid, 0) AS VARCHAR), '||', "
-        f"CAST(coalesce(old_revid, 0) AS VARCHAR), '||', {key_part(ts, 40)}, '||', {key_part('title')}, '||', "
-        f"{key_part(user, 80)}, '||', {key_part('comment')}, '||', {key_part(added)}, '||', {key_part(removed)}))"
+        f"CAST(coalesce(old_revid, 0) AS VARCHAR), '||', {key_part(ts, t)}, '||', {key_part('title', n)}, '||', "
+        f"{key_part(user, u)}, '||', {key_part('comment', n)}, '||', {key_part(added, n)}, '||', {key_part(removed, n)}))"
     )
 
 

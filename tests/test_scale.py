@@ -50,9 +50,9 @@ def test_keep_first_with_a_quota_per_group(spark, data):
     assert {r.g: r["count"] for r in got.groupBy("g").count().collect()} == {"a": 5, None: 7, "c": 2}
 
 
-@pytest.mark.parametrize("small_keys,hot_share", [(1000, 10), (0, 3), (0, 100)])
-def test_attach_count(spark, data, small_keys, hot_share):
-    got = sc.attach_count(_frame(spark, data), F.col("g"), "n", small_keys=small_keys, hot_share=hot_share)
+@pytest.mark.parametrize("hot_rows", [1_000_000, 30, 1])
+def test_attach_count(spark, data, hot_rows):
+    got = sc.attach_count(_frame(spark, data), F.col("g"), "n", hot_rows=hot_rows)
     want = Counter(g for _, g, _, _ in data)
     assert got.count() == len(data)
     assert all(r.n == want[r.g] for r in got.collect())
@@ -83,8 +83,11 @@ def test_running_totals(spark):
 @pytest.mark.parametrize("n", [1, 10, 500])
 def test_newest_global_and_largest(spark, n):
     ids = random.Random(5).sample(range(10_000), 300)
+    for spread in (1, 1 << 40, -(1 << 45)):
+        far = spark.createDataFrame([(i * spread,) for i in ids], "id long")
+        assert rows(sc.newest_global(far, "id", n)) == sorted(((i,) for i in sorted(i * spread for i in ids)[-n:]), key=repr)
     df = spark.createDataFrame([(i, f"k{i}") for i in ids], "id long, k string")
-    assert rows(sc.newest_global(df, "id", n, step=64), "id") == sorted(((i,) for i in sorted(ids)[-n:]), key=repr)
+    assert rows(sc.newest_global(df, "id", n), "id") == sorted(((i,) for i in sorted(ids)[-n:]), key=repr)
     tied = spark.createDataFrame([(1 + i % 20, f"k{i:05d}") for i in ids], "c long, k string")
     want = sorted(((1 + i % 20, f"k{i:05d}") for i in ids), key=lambda r: (-r[0], r[1]))[:n]
     assert rows(sc.largest(tied, "c", n, "k")) == sorted(want, key=repr)

@@ -94,8 +94,44 @@ def test_union_order_and_switches(spark, tmp_path):
     assert rows(out, "source_rank", "lang", "title") == [(0, "fr", "x"), (1, "en", "y")]
     with pytest.raises(ValueError):
         rd.union_ranked([None])
-    assert config.CollectConfig().recent_changes_cap == 5000 and config.CollectConfig(recent_changes_max=7).recent_changes_cap == 7
-    assert config.HarvestConfig(max_changes=None, hard_cap=5).scan_cap == 1000
+    assert config.CollectConfig().recent_changes_cap is None and config.CollectConfig().revert_scan == (30, None, None)
+    assert config.CollectConfig(recent_changes_max=7).recent_changes_cap == 7
+    assert config.CollectConfig(recent_changes_hard_cap=5, human_revert_max_diffs=1).recent_changes_cap == 100
+    assert config.HarvestConfig().scan_cap is None and config.HarvestConfig(hard_cap=5).scan_cap == 1000
+
+
+def test_languages_that_are_null_or_empty_come_back(spark, tmp_path):
+    from editsieve.operators.joins import drop_known_keys
+    from editsieve.schemas import SHARD
+
+    def shard(lang, key):
+        return tuple({"lang": lang, "dedup_key": key}.get(f.name) for f in SHARD.fields)
+
+    table = spark.createDataFrame([shard("fr", "a"), shard(None, "b"), shard("", "c")], SHARD)
+    sinks.write_shards(table, str(tmp_path / "s"), "1")
+    sinks.append_dedup_keys(table, str(tmp_path / "k"), "1")
+    want = rows(table, "lang", "dedup_key")
+    assert rows(sinks.read_shard_table(spark, str(tmp_path / "s")), "lang", "dedup_key") == want
+    index = sinks.read_dedup_keys(spark, str(tmp_path / "k"))
+    assert rows(index, "lang", "dedup_key") == want
+    assert drop_known_keys(table.select("lang", "dedup_key"), index).count() == 0
+
+
+def test_shards_with_another_label_type(spark, tmp_path):
+    base = "'fr' AS lang, 't' AS title, 'u' AS user, '' AS comment, '' AS added_text, '' AS removed_text"
+    for i, label in enumerate(["1L", "CAST(1.0 AS DOUBLE)", "CAST(1 AS INT)", "CAST(0.0 AS FLOAT)", "CAST(NULL AS DOUBLE)"]):
+        spark.sql(f"SELECT {base}, {label} AS label, 's{i}' AS source, '' AS timestamp").write.mode("append").parquet(str(tmp_path))
+    (tmp_path / "broken.parquet").write_bytes(b"not parquet at all")
+    assert rows(rd.parse_shards(rd.read_shards(spark, str(tmp_path)), RUN), "source", "label") == [
+        ("s0", 1), ("s1", 1), ("s2", 1), ("s3", 0), ("s4", 0)]
+    assert [f.rsplit("/", 1)[-1] for f in rd.skipped_shards(spark, str(tmp_path))] == ["broken.parquet"]
+
+
+def test_a_map_too_large_to_parse_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(rd, "VARIANT_BYTES", 10)
+    broken = spark.createDataFrame([('{"1": {"title": "never closed"',)], "value string")
+    with pytest.raises(Exception, match="100 MB"):
+        rd.parse_bot_db(broken, "fr", RUN).collect()
 
 
 def test_empty_run_keeps_the_schema_and_the_cursor(spark, tmp_path):

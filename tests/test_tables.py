@@ -195,3 +195,28 @@ def test_caps_count_before_filters_and_budget_keeps_rows(spark):
         r for r, t in got.items() if t == "z") == [37, 38, 39, 40]
     simple = sh.build_shard_simple(changes, payloads, cfg=HarvestConfig(max_changes=10, max_diffs=4))
     assert simple.where("added_text like '<td%'").count() == 4 and simple.count() == 10
+
+
+def test_a_sampled_copy_does_not_take_the_key(spark):
+    """Forty keys, each once plain and once tagged as reverted: all forty positives stay."""
+    rows_in = []
+    for i in range(1, 41):
+        plain, tagged = (("fr", "edit", f"T{i}", f"u{i}", "x", "2024-01-05T00:00:00Z", tags, i, 0) for tags in ([], ["mw-reverted"]))
+        rows_in += [plain, tagged]
+    payloads = spark.createDataFrame([], "old_revid long, revid long, compare_html string")
+    staged = sh.stage_shard(_changes(spark, rows_in), payloads, None, None, HarvestConfig(easy_negative_rate=0.0), "2024-02-01T00:00:00Z")
+    out = sh.shard_rows(staged)
+    assert out.where("sampling_bucket = 'positive'").count() == out.count() == 40
+    c = sh.run_counters(staged).first()
+    assert c.rows_written == 40 and c.dedup_dropped + c.sampled_dropped == 40 and c.sampled_dropped > 0 and c.dedup_dropped > 0
+
+
+def test_html_is_not_shuffled(spark):
+    from editsieve.operators.joins import attach_diffs
+    from editsieve.operators.scale import settle
+
+    changes = settle(_changes(spark, [("fr", "edit", "A", "u", "x", "2024-01-05T00:00:00Z", [], 5, 4)]), "changes")
+    payloads = settle(spark.createDataFrame([(4, 5, "<p>"), (4, 5, "<b>")], "old_revid long, revid long, compare_html string"), "payloads")
+    plan = attach_diffs(changes, payloads)._jdf.queryExecution().executedPlan().toString()
+    above = [line for line in plan.splitlines() if "compare_html" in line and not any(x in line for x in ("Scan", "Project", "Filter", "ColumnarToRow"))]
+    assert not above, above
