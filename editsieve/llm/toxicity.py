@@ -158,12 +158,14 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     """Learn from the labelled rows outside the held-out fold; None without both classes."""
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)")
+    known = known.where(~held_out(F.col("id"))).withColumn("h", F.xxhash64("id"))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    rows = texts.where(~held_out(F.col("doc_id"))).join(known, F.col("doc_id") == F.col("id"))
     sample: dict[int, list[bytes]] = {}
     for c, most in SAMPLE.items():
-        drawn = rows.where(F.col("toxic") == c).select("text", F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(most)
-        sample[c] = [r.text.encode() for r in drawn.select("text").toLocalIterator()]
+        # Ids are drawn from the labels alone: at most ``most`` of them go to the texts, which stay where they are.
+        drawn = F.broadcast(known.where(F.col("toxic") == c).select("id", "h").distinct().orderBy("h", "id").limit(most))
+        rows = texts.join(drawn, F.col("doc_id") == F.col("id")).select("h", "text").orderBy("h", "text").limit(most)
+        sample[c] = [r.text.encode() for r in rows.collect()]
     if not sample[0] or not sample[1]:
         return None
     # Even places make the dictionaries, odd ones the calibration.
@@ -176,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     w = fit_logistic((x - mean) / scale, y)
     # The sample holds the classes in a ratio of its own: put the true one back.
-    total = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    total = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     w[-1] += math.log((total[1] / total[0]) / (y.sum() / (len(y) - y.sum())))
     return ToxicModel(ordinary, toxic, tuple(mean), tuple(scale), tuple(w))
 
