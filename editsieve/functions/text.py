@@ -67,6 +67,9 @@ def to_iso(c: Column, run_ts: str) -> Column:
 def parse_ts(c: Column) -> Column:
     """ISO string -> instant; a string without zone is UTC; anything else is null."""
     raw = strip(null_to_empty(c))
+    # The basic form without separators, and a time of hours only.
+    raw = F.regexp_replace(raw, r"\A(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2})(?=Z|[+-]|\z)", "$1-$2-$3T$4:$5:$6")
+    raw = F.regexp_replace(raw, r"\A(\d{4}-\d{2}-\d{2}[T ]\d{2})(?=Z|[+-]|\z)", "$1:00")
     # Spark's cast wants seconds.
     t = F.regexp_replace(raw, r"\A(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=Z|[+-]|\z)", "$1:00")
     zoned = (

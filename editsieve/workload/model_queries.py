@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..config import SERVING_THRESHOLD, TrainConfig
@@ -19,6 +23,7 @@ from ..plans import training as tr
 from ..plans import vocabulary as vo
 from ..schemas import NUMERIC_FEATURES
 from . import sqltext as s
+from .feature_queries import top_tokens_sql
 from .fixtures import edits, over_edits
 from .registry import query
 
@@ -139,33 +144,48 @@ def train_and_export(spark, sf_dir):
     return result["metadata"].drop("model_version", "created_at_utc")
 
 
-@query()
+@query(over_edits(" SELECT revid, source, true AS same, true AS is_probability FROM edits"))
 def sink_model(spark, sf_dir):
-    """A stored model read back: score of every edit by the latest and by the archived copy."""
+    """A stored model read back: every edit gets the same score from the latest and the archived copy."""
     result, out = stored_model(spark, sf_dir)
     rows = enrich(edits(spark, sf_dir)).select(*ID, "text", *NUMERIC_FEATURES)
     latest = md.CalibratedModel.load(spark, f"{out}/model/latest/model").transform(rows, "latest")
     both = md.CalibratedModel.load(spark, result["paths"]["archive"] + "/model").transform(latest, "archived")
-    return both.select(*ID, "latest", "archived")
+    return both.select(
+        *ID, (F.abs(F.col("latest") - F.col("archived")) < 1e-12).alias("same"), F.col("latest").between(0, 1).alias("is_probability")
+    )
 
 
-@query()
+@query("SELECT unnest(['precision', 'recall', 'f1', 'auc', 'tn', 'fp', 'fn', 'tp', 'threshold']) AS metric, true AS same")
 def evaluate_model(spark, sf_dir):
+    """The stored model on the stored evaluation set gives the metrics that training has stored."""
     result, out = stored_model(spark, sf_dir)
-    return tr.evaluate_saved_model(spark, f"{out}/model/latest", result["paths"]["eval_dataset"])
+    again = tr.evaluate_saved_model(spark, f"{out}/model/latest", result["paths"]["eval_dataset"])
+    long = lambda df, name: df.unpivot([], df.columns, "metric", name)
+    both = long(again, "now").join(long(result["metrics"], "then"), "metric")
+    return both.select("metric", (F.abs(F.col("now") - F.col("then")) < 1e-9).alias("same"))
 
 
-@query()
+@query("SELECT CAST((i + 1) * 5 AS DOUBLE) / 100 AS threshold, true AS falls, true AS in_range FROM range(19) t(i)")
 def threshold_eval_report(spark, sf_dir):
+    """Recall never rises with the threshold, and all rates are shares."""
     result, out = stored_model(spark, sf_dir)
-    return tr.threshold_report(spark, f"{out}/model/latest", result["paths"]["eval_dataset"], scratch_path(spark, "report"))
+    report = tr.threshold_report(spark, f"{out}/model/latest", result["paths"]["eval_dataset"], scratch_path(spark, "report"))
+    before = F.lag("recall", 1, 1.0).over(Window.orderBy("threshold"))  # one row per threshold
+    shares = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1")]
+    return report.select(
+        F.round("threshold", 2).alias("threshold"), (F.col("recall") <= before).alias("falls"), reduce(and_, shares).alias("in_range")
+    )
 
 
-@query()
+@query(top_tokens_sql(4).replace("AS tokens FROM edits LEFT JOIN top", "AS explanations, true AS consistent FROM edits LEFT JOIN top"))
 def score_edits(spark, sf_dir):
-    _, out = stored_model(spark, sf_dir)
+    """Explanations of every edit, and whether its verdict follows from its score and the stored threshold."""
+    result, out = stored_model(spark, sf_dir)
     scored = sc.load_predictor(spark, f"{out}/model/latest").score(edits(spark, sf_dir))
-    return scored.select(*ID, "score", "verdict", F.array_join("explanations", " ").alias("explanations"))
+    threshold = result["metadata"].first().threshold
+    follows = F.col("verdict") == F.when(F.col("score") >= threshold, "VANDALISM").otherwise("LEGIT")
+    return scored.select(*ID, F.array_join("explanations", " ").alias("explanations"), follows.alias("consistent"))
 
 
 _HASH = f"round({s.hash_fraction(s.row_hash(ID))}, 9)"

@@ -31,6 +31,7 @@ def test_parse_ts(spark):
     cases = {
         "2024-01-01T00:00:00Z": base, "2024-01-01T00:00:00": base, "2024-01-01 00:00": base, "2024-01-01": base,
         "2024-01-01T00:00:00+02:00": base - 7200, "2024-01-01T00:00:00-0500": base + 18000, "": None, "2024": None,
+        "20240101T000000Z": base, "2024-01-01T01": base + 3600, "2024-01-01T00+01:00": base - 3600,
         "2024-01": None, "T10:00": None, "bad": None, "2024-13-01T00:00:00Z": None, "2024-01-01T00:00:00-05:00Z": None,
     }
     got = one(spark, list(cases), lambda c: F.unix_seconds(tx.parse_ts(c)))
