@@ -7,15 +7,12 @@ cannot clash; those that return documents carry the input columns in one struct.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editsieve.operators.scale import scratch_path, settle
 
-__all__ = ["arrow_rows", "bucket_bounds", "bucket_of", "documents", "id_text", "keyed_text", "scratch_path", "settle", "shuffle_width"]
+__all__ = ["bucket_bounds", "bucket_of", "documents", "id_text", "scratch_path", "settle", "shuffle_width"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,23 +23,10 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def text_key(text: Column) -> Column:
-    """Tells apart rows that share an id but not the text; rows equal in both get equal results."""
-    return F.xxhash64(text)
-
-
-def keyed_text(docs: DataFrame) -> DataFrame:
-    return id_text(docs).withColumn("key", text_key(F.col("text")))
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def arrow_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def bucket_bounds(docs: DataFrame, column: str, rows_per_bucket: int) -> list:
     """Upper bounds that cut ``column`` into ranges of about ``rows_per_bucket`` rows.
 

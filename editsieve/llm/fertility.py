@@ -142,7 +142,6 @@ def bands(measured: DataFrame, width: float = BAND) -> DataFrame:
     """(lang, low_<m>, high_<m>): median and median deviation over all documents that pass the base rules."""
     fit = measured.where(~F.col("base_failed"))
     middle = settle(fit.groupBy("lang").agg(*(F.percentile_approx(m, 0.5, 10_000).alias(f"mid_{m}") for m in MEASURES)), "medians")
-    same = fit["lang"].eqNullSafe(middle["lang"])
     away = fit.join(middle.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")), "left")
     spread = away.groupBy("lang").agg(
         *(F.first(f"mid_{m}").alias(f"mid_{m}") for m in MEASURES),
