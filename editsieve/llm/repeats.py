@@ -287,7 +287,10 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, crowde
     found = settle(anchors(docs, window, core), "anchors")
     often = found.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("a"), F.max("ctx").alias("b")).where("n > 1")
     lo = F.greatest(F.col("pos") - F.lit(reach), F.lit(0))
-    shared = found.join(often.select("g", (F.col("a") != F.col("b")).alias("mixed")), "g")
+    # Written first: then the join has an exchange of its own on both sides, and a core that fills a large
+    # share of all anchors is split by the planner.
+    often = settle(often.select("g", (F.col("a") != F.col("b")).alias("mixed")), "often")
+    shared = found.join(often, "g")
     shared = settle(shared.withColumn("lo", lo).withColumn("hi", F.col("pos") + F.col("right")), "shared-anchors")
     whole = F.col("hi") - F.col("lo") >= window
     plain = shared.where(~F.col("mixed") & whole).select("k1", "k2", "lo", "hi")
