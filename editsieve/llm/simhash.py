@@ -13,12 +13,19 @@ search that never compares what it has reached. No link between components is lo
 Choose ``segments`` such that a segment has about log2(distinct fingerprints) bits: 3 up to some hundred
 million, 2 beyond. The result does not depend on it.
 
+``keep_one_similar`` drops near copies by the Jaccard similarity of their word shingles. At a similarity of 0.8 about one bit in seven differs, out of
+reach of small Hamming balls, so it takes 512 bits instead and many overlapping bands of them (``band_plan``). A pair that
+shares a band value is a candidate, and counts if the texts, taken from the table, have the similarity.
+Under a value with more than ``FAMILY`` texts all are first held against the least of them; then those that are outside the
+largest component there are held against all. Nothing is lost by that: the others are linked already.
+
 Defined results: null, empty and blank texts have fingerprint zero; null ids are kept but are never a
 component's id unless it has no other; equal rows are returned each; an empty table gives no row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -35,22 +42,38 @@ WORDS, RADIUS, SEGMENTS, SEED = 4, 4, 3, 42
 # Distinct fingerprints under one segment value from which it is split.
 CROWDED = 256
 BLOCK = 4096
-
-
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """64-bit SimHash of the word shingles of a UTF-8 text, as a signed integer."""
+# Near copies: shingles of so many words, Jaccard similarity, and the share of pairs of just that similarity that may be missed.
+SIMILAR_WORDS, SIMILAR, MISSED = 5, 0.8, 0.01
+# 64-bit words of the wide fingerprint; the first one is the check of a candidate, the others give the bands.
+WIDE = 8
+# Bits of the first word in which candidates may differ: over three standard deviations above what the similarity gives.
+CHECK_BITS = 20
+# Texts under one band value from which not all pairs are candidates.
+FAMILY = 32
+
+
+def shingle_digests(text: bytes, words: int) -> np.ndarray:
+    """Hashes of the word shingles of a UTF-8 text, as bytes one after the other."""
     import xxhash
 
     tokens = text.lower().split()  # on bytes: A-Z and ASCII white space only
     if not tokens:
-        return 0
+        return np.empty(0, dtype=np.uint8)
     line = b" ".join(tokens)
     size = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
     ends = np.cumsum(size + 1) - 1
     n = max(1, len(tokens) - words + 1)
     first, last = (ends - size)[:n].tolist(), ends[-n:].tolist()
     digest = xxhash.xxh64_digest
-    hashes = np.frombuffer(b"".join([digest(line[a:b], SEED) for a, b in zip(first, last)]), dtype=np.uint8)
+    return np.frombuffer(b"".join([digest(line[a:b], SEED) for a, b in zip(first, last)]), dtype=np.uint8)
+
+
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """64-bit SimHash of the word shingles of a UTF-8 text, as a signed integer."""
+    hashes = shingle_digests(text, words)
+    n = len(hashes) // 8
+    if not n:
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 1 << 16):
         part = hashes[8 * at : 8 * (at + (1 << 16))].reshape(-1, 8)
@@ -167,18 +190,147 @@ def simhash_components(spark: SparkSession, docs: DataFrame, words: int = WORDS,
     )
 
 
+def _with_keys(docs: DataFrame) -> DataFrame:
+    """Text and all columns (``row``) with two 64-bit keys of id and text."""
+    held = docs.select("doc_id", "text", F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    body = F.coalesce("text", F.lit(""))
+    return held.withColumn("k1", F.xxhash64(body, "doc_id")).withColumn("k2", F.xxhash64(F.lit(1), "doc_id", body))
+
+
+def _one_of_each(keyed: DataFrame, placed: DataFrame) -> DataFrame:
+    """The row of the smallest (id, content) of each ``root``, once."""
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2"))
+    winners = placed.groupBy("root").agg(best.alias("w")).select("w.k1", "w.k2")
+    once = Window.partitionBy("k1", "k2").orderBy("k1")
+    kept = keyed.select("k1", "k2", "row").join(settle(winners, "winners").distinct(), ["k1", "k2"])
+    return kept.withColumn("n", F.row_number().over(once)).where("n = 1").select("row.*")
+
+
 def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """``docs`` without near-duplicates: the smallest (id, content) of each component stays, once.
 
     All columns of the input come back as they were.
     """
-    names = docs.columns
-    held = docs.select("doc_id", "text", F.struct(*(docs[c] for c in names)).alias("row"))
-    body = F.coalesce("text", F.lit(""))
-    keyed = held.withColumn("k1", F.xxhash64(body, "doc_id")).withColumn("k2", F.xxhash64(F.lit(1), "doc_id", body))
+    keyed = _with_keys(docs)
     rows = settle(fingerprints(keyed, words, ("k1", "k2")), "fingerprint-rows")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2"))
-    winners = linked(rows, radius).groupBy("root").agg(best.alias("w")).select("w.k1", "w.k2")
-    once = Window.partitionBy("k1", "k2").orderBy("k1")
-    kept = keyed.select("k1", "k2", "row").join(settle(winners, "winners").distinct(), ["k1", "k2"])
-    return kept.withColumn("n", F.row_number().over(once)).where("n = 1").select("row.*")
+    return _one_of_each(keyed, linked(rows, radius))
+
+
+# --- near copies by similarity ------------------------------------------------------------------
+
+def band_plan(n_texts: int, least: float = SIMILAR, missed: float = MISSED) -> np.ndarray:
+    """Bits of each band, one row per band.
+
+    A band has about log2(texts) bits, so unrelated texts seldom meet; there are as many bands as a pair of just the similarity
+    needs to share one.
+    """
+    width = min(32, max(16, math.ceil(math.log2(n_texts + 1))))
+    differ = math.acos(2 * least / (1 + least)) / math.pi
+    count = math.ceil(math.log(missed) / math.log1p(-((1 - differ) ** width)))
+    rng = np.random.default_rng(20240229)
+    return np.stack([64 + rng.choice(64 * (WIDE - 1), width, replace=False) for _ in range(count)])
+
+
+def wide_bits(digests: np.ndarray) -> np.ndarray:
+    """Bits of the wide fingerprint, from the hashes of the shingles."""
+    h = digests.view("<u8")
+    odd = np.random.default_rng(7).integers(1, 1 << 63, WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    ones = np.zeros(64 * WIDE, dtype=np.int64)
+    for at in range(0, len(h), 255):  # so that sums fit in a byte
+        x = h[at : at + 255, None] * odd
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(29)
+        ones += np.add.reduce(np.unpackbits(x.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return 2 * ones > len(h)
+
+
+def jaccard(a: bytes, b: bytes, words: int = SIMILAR_WORDS) -> float:
+    x, y = (np.unique(shingle_digests(t, words).view("<u8")) for t in (a, b))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+
+
+def banded(docs: DataFrame, words: int, plan: np.ndarray) -> DataFrame:
+    """(doc_id, k1, k2, node, fp, bands): ``node`` is the same for texts with the same words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        import xxhash
+
+        places = np.int64(1) << np.arange(plan.shape[1], dtype=np.int64)
+        numbers = np.arange(len(plan), dtype=np.int64) << np.int64(32)
+        for batch in batches:
+            nodes, fps, bands = [], [], []
+            for value in batch.column("bytes"):
+                text = value.as_py()
+                bits = wide_bits(shingle_digests(text, words))
+                nodes.append(xxhash.xxh64_intdigest(b" ".join(text.lower().split())))
+                fps.append(np.packbits(bits[:64]).view("<i8")[0])
+                bands.append((bits[plan] * places).sum(axis=1) + numbers)
+            out = {
+                "node": pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), "fp": pa.array(fps, pa.int64()),
+                "bands": pa.array(bands, pa.list_(pa.int64())),
+            }
+            own = ("doc_id", "k1", "k2")
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *out.values()], names=[*own, *out])
+
+    source = docs.select("doc_id", "k1", "k2", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"))
+    return source.mapInArrow(run, "doc_id long, k1 long, k2 long, node long, fp long, bands array<long>")
+
+
+def similar_links(pairs: DataFrame, rows: DataFrame, keyed: DataFrame, words: int, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts have the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            near = [jaccard(x.as_py(), y.as_py(), words) >= least for x, y in zip(batch.column("x"), batch.column("y"))]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    one = rows.groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("o"))
+    wanted = settle(one.join(nodes, "node", "left_semi").select("node", "o.*"), "candidate-nodes")
+    body = F.coalesce("text", F.lit("")).cast("binary")
+    found = keyed.select("k1", "k2", body.alias("bytes")).join(wanted, ["k1", "k2"])
+    texts = settle(found.dropDuplicates(["node"]).select("node", "bytes"), "candidate-texts")
+    first = pairs.join(texts.select(F.col("node").alias("a"), F.col("bytes").alias("x")), "a")
+    both = first.join(texts.select(F.col("node").alias("b"), F.col("bytes").alias("y")), "b")
+    return settle(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "similar")
+
+
+def similar_roots(keyed: DataFrame, words: int = SIMILAR_WORDS, least: float = SIMILAR, family: int = FAMILY) -> DataFrame:
+    """(doc_id, k1, k2, root): one root per group of near copies."""
+    rows = settle(banded(keyed, words, band_plan(keyed.count(), least)), "banded")
+    nodes = rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    members = settle(nodes.select("node", "fp", F.explode("bands").alias("band")), "bands")
+    held = F.struct("node", "fp")
+    sizes = settle(members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(held).alias("first")).where("n > 1"), "band-sizes")
+    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("other_fp"))) <= CHECK_BITS
+
+    def pairs(left: DataFrame, right: DataFrame, *more) -> DataFrame:
+        other = right.select("band", F.col("node").alias("other"), F.col("fp").alias("other_fp"), *(F.col(c).alias(f"other_{c}") for c in right.columns if c == "root"))
+        met = left.join(other, "band").where(close)
+        for m in more:
+            met = met.where(m)
+        return settle(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "candidates")
+
+    few = settle(members.join(sizes.where(F.col("n") <= family).select("band"), "band", "left_semi"), "few")
+    many = settle(members.join(sizes.where(F.col("n") > family).select("band"), "band", "left_semi"), "many")
+    leaders = sizes.where(F.col("n") > family).select("band", "first.node", "first.fp")
+    candidates = pairs(few, few, F.col("node") < F.col("other")).union(pairs(many, leaders, F.col("node") != F.col("other"))).distinct()
+    links = similar_links(settle(candidates, "pairs"), rows, keyed, words, least)
+    roots = settle(components(links), "roots")
+    if not many.isEmpty():
+        placed = settle(many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+        shares = placed.groupBy("band", "root").count()
+        largest = settle(shares.groupBy("band").agg(F.max(F.struct("count", "root")).alias("m")).select("band", F.col("m.root").alias("top")), "largest")
+        outside = settle(placed.join(largest, "band").where("root <> top").drop("top"), "outside")
+        more = pairs(outside, placed.join(outside.select("band").distinct(), "band", "left_semi"), F.col("root") != F.col("other_root"))
+        links = links.union(similar_links(more, rows, keyed, words, least))
+        roots = settle(components(links), "roots")
+    return rows.select("doc_id", "k1", "k2", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def keep_one_similar(docs: DataFrame, words: int = SIMILAR_WORDS, least: float = SIMILAR, family: int = FAMILY) -> DataFrame:
+    """``docs`` with one document of each group of near copies: linked are texts with a Jaccard similarity of ``least`` or more."""
+    keyed = _with_keys(docs)
+    return _one_of_each(keyed, similar_roots(keyed, words, least, family))

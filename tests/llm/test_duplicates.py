@@ -12,7 +12,7 @@ import xxhash
 
 from editsieve.llm.components import components
 from editsieve.llm.repeats import AnchorFinder, context_spans, kept_bytes, merged, prefix_intervals, remove_repeats, repeat_report
-from editsieve.llm.simhash import ball, keep_one, near_links, segment_plan, simhash_components
+from editsieve.llm.simhash import ball, jaccard, keep_one, keep_one_similar, near_links, segment_plan, simhash_components
 from editsieve.llm.sketch import containment, edited_pairs, similarity, with_next, with_sketch
 from pyspark.sql import functions as F
 from tests.llm.conftest import odd_rows
@@ -114,6 +114,44 @@ def test_keep_one(spark, table):
     assert keep_one(docs.where("doc_id > 1000")).collect() == []
 
 
+def plain_jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("family", [32, 1])
+def test_keep_one_similar_by_band(spark, table, family):
+    """Recall of planted edits per band of similarity; nothing below 0.8 goes."""
+    rng = random.Random(21)
+    rows, similarity_of = [], {}
+    for i in range(240):
+        words = [f"w{rng.randrange(30000)}" for _ in range(rng.randint(120, 400))]
+        edited = list(words)
+        for _ in range(rng.randint(1, max(2, len(words) // 30))):
+            edited[rng.randrange(len(edited))] = f"x{rng.randrange(30000)}"
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(edited))]
+        similarity_of[1000 + i] = plain_jaccard(rows[-2][1], rows[-1][1])
+        assert abs(jaccard(rows[-2][1].encode(), rows[-1][1].encode()) - similarity_of[1000 + i]) < 1e-12
+    kept = {r.doc_id for r in keep_one_similar(table(rows), family=family).collect()}
+    assert kept >= set(range(240))
+    assert all(i in kept for i, s in similarity_of.items() if s < 0.8)
+    plain = {r.doc_id for r in keep_one(table(rows), 4).collect()}
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 0.95), (0.95, 1.01)):
+        band = [i for i, s in similarity_of.items() if low <= s < high]
+        recall, before = (1 - sum(i in k for i in band) / len(band) for k in (kept, plain))
+        print(f"family {family}: {low}-{high}: {len(band)} pairs, recall {recall:.3f}, with 4 of 64 bits {before:.3f}")
+        assert len(band) >= 10 and recall >= 0.95
+
+
+def test_keep_one_similar_odd_rows(spark, table):
+    rows = odd_rows()
+    kept = keep_one_similar(table(rows))
+    assert kept.columns == table(rows).columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert (2, rows[2][1]) in got and (5, rows[0][1]) not in got and sum(not (t or "").strip() for _, t in got) == 1
+    assert keep_one_similar(table(rows).where("doc_id > 1000")).collect() == []
+
+
 def test_next_and_edited(spark, table):
     rows = odd_rows()
     ordered = sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: (r[0], r[1] or ""))
