@@ -16,6 +16,9 @@ the corpus is out of reach, and not needed:
    Groups beyond ``crowded`` contexts are split in blocks, and each pair of blocks is scanned by itself.
 4. The spans of a document are merged and cut out.
 
+``remove_passages`` also cuts what repeats for ``PASSAGE`` words, however few bytes they have: the same search runs over the words, each as a
+hash of ``WORD_BYTES`` bytes, so a window is a number of words.
+
 Defined results: null is empty; texts shorter than the window lose nothing; equal rows are copies of each other and
 lose the same; a removed run may cut a character in two: the digest rows take the remaining bytes as they are, and
 ``remove_repeats`` drops bytes that are no longer UTF-8; an empty table gives no row.
@@ -34,6 +37,8 @@ from pyspark.sql import functions as F
 from editsieve.llm.common import settle, shuffle_width
 
 WINDOW, CORE = 400, 100
+# Words of the shortest passage of over 50 words, of its cores, and the bytes that stand for a word.
+PASSAGE, PASSAGE_CORE, WORD_BYTES = 51, 13, 4
 # Contexts of one anchor from which its group is split, and the size of the blocks.
 CROWDED, BLOCK = 8192, 4096
 # Bytes hashed at a time, so that memory does not depend on the length of a text.
@@ -43,6 +48,7 @@ TOGETHER = 4096
 
 ANCHOR = "k1 long, k2 long, pos int, right int, g long, ctx long"
 SPAN = "k1 long, k2 long, lo int, hi int"
+SPANS = "array<struct<lo:int,hi:int>>"
 
 
 # --- anchors ---------------------------------------------------------------------------------------
@@ -123,7 +129,23 @@ def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def anchors(docs: DataFrame, window: int = WINDOW, core: int = CORE) -> DataFrame:
+def word_bytes(text: bytes) -> bytes:
+    """The text with each word as a hash of ``WORD_BYTES`` bytes and nothing between."""
+    import xxhash
+
+    return b"".join(map(xxhash.xxh32_digest, text.split()))
+
+
+def _keyed_words(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            stream = pa.array([word_bytes(t.as_py()) for t in batch.column("bytes")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), stream], names=["k1", "k2", "bytes"])
+
+    return _keyed(docs).mapInArrow(run, "k1 long, k2 long, bytes binary")
+
+
+def anchors(keyed: DataFrame, window: int = WINDOW, core: int = CORE) -> DataFrame:
     """(k1, k2, pos, right, g, ctx): the anchors, the hash of the core and the digest of the context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -155,7 +177,7 @@ def anchors(docs: DataFrame, window: int = WINDOW, core: int = CORE) -> DataFram
                 names=["k1", "k2", "pos", "right", "g", "ctx"],
             )
 
-    return _keyed(docs).select("k1", "k2", "bytes").mapInArrow(run, ANCHOR)
+    return keyed.select("k1", "k2", "bytes").mapInArrow(run, ANCHOR)
 
 
 # --- interval tree --------------------------------------------------------------------------------
@@ -283,8 +305,18 @@ def resolve(contexts: DataFrame, window: int = WINDOW, core: int = CORE) -> Data
 
 def repeat_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
     """(k1, k2, spans): the repeated byte ranges of each document that has some, not yet merged."""
+    return keyed_spans(_keyed(docs), window, core, crowded, block)
+
+
+def word_spans(docs: DataFrame, words: int = PASSAGE, core: int = PASSAGE_CORE, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
+    """(k1, k2, word_spans): the same in bytes of ``word_bytes``, for repeats of ``words`` words."""
+    return keyed_spans(_keyed_words(docs), words * WORD_BYTES, core * WORD_BYTES, crowded, block).withColumnRenamed("spans", "word_spans")
+
+
+def keyed_spans(keyed: DataFrame, window: int, core: int, crowded: int, block: int) -> DataFrame:
+    """(k1, k2, spans) of the ``bytes`` of ``keyed``."""
     reach = window - core
-    found = settle(anchors(docs, window, core), "anchors")
+    found = settle(anchors(keyed, window, core), "anchors")
     often = found.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("a"), F.max("ctx").alias("b")).where("n > 1")
     lo = F.greatest(F.col("pos") - F.lit(reach), F.lit(0))
     # Written first: then the join has an exchange of its own on both sides, and a core that fills a large
@@ -312,7 +344,7 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, crowde
             F.substring(F.col("bytes"), a["pos"] + 1, a["hi"] - a["pos"]).alias("right"),
         ),
     )
-    texts = _keyed(docs).join(per_doc.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", around.alias("around"))
+    texts = keyed.join(per_doc.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", around.alias("around"))
     cut = texts.select("k1", "k2", F.explode("around").alias("c")).select("k1", "k2", "c.*")
     own = F.pmod(F.xxhash64("k1", "k2", "pos"), F.col("blocks")).cast("int")
     partner = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least(o, F.col("own")).cast("long") * F.lit(1 << 32) + F.greatest(o, F.col("own")))
@@ -361,21 +393,47 @@ def repeat_report(spark: SparkSession, docs: DataFrame, window: int = WINDOW, co
     return joined.select("doc_id", "bytes", "spans").mapInArrow(run, schema)
 
 
+def passages(text: bytes, spans: list[dict] | None, words: int = PASSAGE) -> list[dict]:
+    """Byte ranges of the whole words in spans of ``word_bytes``; those of fewer than ``words`` words are no passage."""
+    whole = [(-(-s["lo"] // WORD_BYTES), s["hi"] // WORD_BYTES) for s in spans or ()]
+    whole = [(a, b) for a, b in whole if b - a >= words]
+    if not whole:
+        return []
+    tokens = text.split()
+    ends, at = [], 0
+    for token in tokens:
+        at = text.index(token, at) + len(token)
+        ends.append(at)
+    return [{"lo": ends[a] - len(tokens[a]), "hi": ends[b - 1]} for a, b in whole]
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, core: int = CORE) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text`` (and ``n_chars`` set anew, where there is one)."""
-    spans = settle(repeat_spans(docs, window, core), "spans")
+    return _without(docs, settle(repeat_spans(docs, window, core).withColumn("word_spans", F.lit(None).cast(SPANS)), "spans"), PASSAGE)
+
+
+def remove_passages(docs: DataFrame, words: int = PASSAGE, core: int = PASSAGE_CORE) -> DataFrame:
+    """``docs`` without what ``remove_repeats`` cuts and without repeats of ``words`` words, of however many bytes."""
+    of_bytes, of_words = settle(repeat_spans(docs), "spans"), settle(word_spans(docs, words, core), "word-spans")
+    return _without(docs, settle(of_bytes.join(of_words, ["k1", "k2"], "full"), "all-spans"), words)
+
+
+def _without(docs: DataFrame, spans: DataFrame, words: int) -> DataFrame:
+    """``docs`` without the (k1, k2, spans, word_spans) in ``text``."""
+
+    def cut_out(text: bytes, own: list[dict] | None, own_words: list[dict] | None) -> str:
+        runs = merged([*(own or ()), *passages(text, own_words, words)])
+        return kept_bytes(text, runs).decode("utf-8", "ignore") if runs else text.decode("utf-8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                kept_bytes(v.as_py(), merged(s.as_py())).decode("utf-8", "ignore") if s.is_valid else v.as_py().decode("utf-8")
-                for v, s in zip(batch.column("bytes"), batch.column("spans"))
-            ]
+            columns = (batch.column(c) for c in ("bytes", "spans", "word_spans"))
+            texts = [cut_out(*(v.as_py() for v in values)) for values in zip(*columns)]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("row")], names=["text", "row"])
 
     others = [c for c in docs.columns if c != "text"]
     row = F.struct(*(docs[c] for c in others)).alias("row")
-    joined = _keyed(docs, row).join(spans.hint("shuffle_hash"), ["k1", "k2"], "left").select("bytes", "spans", "row")
+    joined = _keyed(docs, row).join(spans.hint("shuffle_hash"), ["k1", "k2"], "left").select("bytes", "spans", "word_spans", "row")
     fields = joined.schema["row"].dataType.simpleString()
     cut = joined.mapInArrow(run, f"text string, row {fields}")
     new_length = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in others else None

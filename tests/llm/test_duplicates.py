@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 from editsieve.llm.components import components
-from editsieve.llm.repeats import AnchorFinder, context_spans, kept_bytes, merged, prefix_intervals, remove_repeats, repeat_report
+from editsieve.llm.repeats import AnchorFinder, context_spans, kept_bytes, merged, prefix_intervals, remove_passages, remove_repeats, repeat_report
 from editsieve.llm.simhash import ball, jaccard, keep_one, keep_one_similar, near_links, segment_plan, simhash_components
 from editsieve.llm.sketch import containment, edited_pairs, similarity, with_next, with_sketch
 from pyspark.sql import functions as F
@@ -285,3 +285,30 @@ def test_repeats_of_documents(spark, table, limits, monkeypatch):
         kept = kept_bytes(t, runs).decode("utf-8", "ignore")
         assert by_id[d].text == kept and by_id[d].n_chars == len(kept) and by_id[d].bucket == "x"
     assert repeat_report(spark, table(rows).where("doc_id > 1000"), 20, 5).collect() == []
+
+
+def test_passages_of_51_words(spark, table):
+    """51 words shared by two texts go whatever their length in bytes, 50 stay, and 400 bytes go without blanks too."""
+    rng = random.Random(31)
+
+    def fresh(n):
+        return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+
+    short, just, few = (["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 3))) for _ in range(n)] for n in (51, 60, 50))
+    whole = "".join(chr(0x4E00 + rng.randrange(9000)) for _ in range(200))
+    rows, want = [], {}
+    for i, (passage, goes) in enumerate([(short, True), (just, True), (few, False), ([whole], True)]):
+        for j in range(3):
+            before, after = fresh(rng.randint(60, 90)), fresh(rng.randint(60, 90))
+            blanks = ["  " if j == 1 and len(passage) > 1 else " ", "\n" if j == 2 and i < 2 else " "]
+            rows.append((10 * i + j, f"{' '.join(before)} {blanks[j > 0].join(passage) if i < 2 else ' '.join(passage)} {' '.join(after)}"))
+            want[10 * i + j] = before + ([] if goes else passage) + after
+    assert all(len(" ".join(p)) < 400 for p in (short, just, few)) and len(whole.encode()) >= 400
+    got = remove_passages(table(rows))
+    assert got.columns == table(rows).columns
+    texts = {r.doc_id: r.text for r in got.collect()}
+    assert all(texts[i].split() == want[i] for i in want if i < 30)
+    assert all(set(whole).isdisjoint(texts[i]) and set(want[i][1:59]) <= set(texts[i].split()) for i in want if i >= 30)
+    plain = {r.doc_id: r.text.split() for r in remove_repeats(table(rows)).collect()}
+    assert plain[0] != want[0] and whole not in " ".join(plain[30])
+    assert remove_passages(table(rows).where("doc_id > 1000")).collect() == []
