@@ -6,6 +6,10 @@ table has all three margins. A document is then kept with a probability in propo
 so the expected tokens of the sample have the target shares. Probabilities stop at 1: the cells that
 reach it are found exactly, and the others share what is left of the budget.
 
+Where many cells reach 1, that alone leaves the sample off the targets. ``sample_to_targets`` (the stage of the pipeline) rakes within the
+bounds: the scale of each source, language and topic is such that its cells, none above what it has, come to its target. If the
+margins cannot be met so, the budget is lowered in steps until they are. ``mixed`` without ``within`` is what the SQL of the query says.
+
 Only DataFrame functions are used. Documents are counted by cell with partial sums; all further work is on the table of cells, and
 the way back is a join with that small written table, which the planner broadcasts if its size on disk permits.
 
@@ -28,6 +32,8 @@ FLATTEN = {"source": 0.5, "lang": 0.7, "topic": 0.5}
 ROUNDS = 8
 # Expected share of all tokens in the sample.
 BUDGET = 0.7
+# Raking within bounds: how far a share may be from its target, relative to it; the step down of the budget if that is not reached.
+TOLERANCE, STEP, LOWERINGS, PASSES = 0.01, 0.95, 60, 20
 SYMBOLS = "#*$%&|<>"
 DIGITS = "0123456789"
 
@@ -92,9 +98,70 @@ def calibrate(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
     return scaled.withColumn("probability", probability).select(*MARGINS, "weight", "probability")
 
 
-def mixed(docs: DataFrame, budget: float = BUDGET, flatten: dict[str, float] | None = None, rounds: int = ROUNDS) -> DataFrame:
+def given(cells: DataFrame, margin: str, shares: dict[str, float]) -> DataFrame:
+    """(margin, target) from explicit shares, put to sum 1 over the groups that are there; groups not named get nothing."""
+    spark = cells.sparkSession
+    named = spark.createDataFrame([(k, float(v)) for k, v in shares.items() if v > 0], f"{margin} string, t double")
+    here = named.join(cells.select(margin).distinct(), margin, "left_semi")
+    total = here.agg(F.sum("t")).first()[0]
+    return here.select(margin, (F.col("t") / F.lit(total or 1.0)).alias(f"target_{margin}"))
+
+
+def _met(table: DataFrame, margin: str, budget: float) -> DataFrame:
+    """Scales ``v`` in each group of ``margin`` such that the sum of least(share, v) is its part of the budget."""
+    full = F.col("v") / F.col("share")
+    line = Window.partitionBy(margin).orderBy(F.desc("full"), *MARGINS)
+    before, after = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(0, Window.unboundedFollowing)
+    left = F.lit(budget) * F.col(f"target_{margin}") - F.coalesce(F.sum("share").over(before), F.lit(0.0))
+    scaled = table.withColumn("full", full).withColumn("at", F.row_number().over(line)).withColumn("scale", left / F.sum("v").over(after))
+    fits = F.when(F.col("scale") * F.col("full") <= 1.0, F.struct("at", "scale"))
+    group = Window.partitionBy(margin)
+    # Without room for the target, all cells of the group are taken whole.
+    factor = F.coalesce(F.min(fits).over(group)["scale"], F.lit(1.0) / F.min("full").over(group))
+    return scaled.withColumn("v", F.col("v") * factor).drop("full", "at", "scale")
+
+
+def _miss(table: DataFrame, taken: Column, budget: float) -> float:
+    """Largest difference of a group from its part of the budget, relative to it."""
+    parts = [
+        table.groupBy(m).agg(F.abs(F.sum(taken) / (F.lit(budget) * F.first(f"target_{m}")) - 1).alias("miss")).agg(F.max("miss").alias("miss"))
+        for m in MARGINS
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).agg(F.max("miss")).first()[0] or 0.0
+
+
+def calibrate_within(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
+    """As ``calibrate``, but the expected tokens of the sample have the margins, at the budget or what is possible below it."""
+    total = raked.agg(F.sum("tokens")).first()[0] or 1
+    table = settle(raked.withColumn("share", F.col("tokens") / F.lit(float(total))).withColumn("v", F.col("w")), "bounded")
+    rooms = [table.groupBy(m).agg((F.sum("share") / F.first(f"target_{m}")).alias("room")).agg(F.min("room")).first()[0] for m in MARGINS]
+    room = min((r for r in rooms if r is not None), default=budget)
+    # Margins that contradict each other are not met by any budget: then no more is asked than raking without bounds gives.
+    budget, allowed = min(budget, room), max(TOLERANCE, 1.1 * _miss(table, F.col("w"), 1.0))
+    taken = F.least("share", "v")
+    for _ in range(LOWERINGS):
+        last = float("inf")
+        for _ in range(PASSES):
+            for margin in MARGINS * 2:
+                table = _met(table, margin, budget)
+            table = settle(table, "bounded")
+            miss = _miss(table, taken, budget)
+            if miss <= allowed or miss > 0.8 * last:
+                break
+            last = miss
+        if miss <= allowed:
+            break
+        budget *= STEP
+    return table.select(*MARGINS, (F.col("w") / F.col("share")).alias("weight"), (taken / F.col("share")).alias("probability"))
+
+
+def mixed(
+    docs: DataFrame, budget: float = BUDGET, flatten: dict[str, float] | None = None, rounds: int = ROUNDS,
+    within: bool = False, shares: dict[str, dict[str, float]] | None = None,
+) -> DataFrame:
     """(row, source, lang, topic, n_tokens, weight, probability, selected) for every document; ``row`` holds its columns.
 
+    ``shares`` are explicit targets of the groups of a margin; the others follow from ``flatten``. ``within`` rakes within the bounds.
     A column ``topic`` of the input is used; without one, the form of the text stands in.
     """
     power = FLATTEN if flatten is None else flatten
@@ -108,8 +175,9 @@ def mixed(docs: DataFrame, budget: float = BUDGET, flatten: dict[str, float] | N
     )
     counted = rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
     cells = settle(counted, "cells")
-    raked = rake(cells, {m: targets(cells, m, power[m]) for m in MARGINS}, rounds)
-    rated = settle(calibrate(raked, budget), "calibrated")
+    goals = {m: given(cells, m, shares[m]) if m in (shares or {}) else targets(cells, m, power[m]) for m in MARGINS}
+    raked = rake(cells, goals, rounds)
+    rated = settle((calibrate_within if within else calibrate)(raked, budget), "calibrated")
     joined = rows.join(rated, list(MARGINS), "left")
     weight, p = F.coalesce("weight", F.lit(0.0)), F.coalesce("probability", F.lit(0.0))
     return joined.select(
@@ -129,6 +197,11 @@ def sample_mixture(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
     return mixed(docs, budget).where("selected").select("row.*")
 
 
+def sample_to_targets(docs: DataFrame, budget: float = BUDGET, shares: dict[str, dict[str, float]] | None = None) -> DataFrame:
+    """The documents of a sample that has the target shares, with the columns of the input."""
+    return mixed(docs, budget, within=True, shares=shares).where("selected").select("row.*")
+
+
 def _rounds_sql() -> str:
     """The rounds of ``rake`` as a chain of tables."""
     chain, last = [], "r0"

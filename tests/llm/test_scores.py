@@ -196,6 +196,40 @@ def test_mixture_rakes_to_the_targets(spark, table):
     assert mixing.mixed(docs.where("doc_id > 5000")).collect() == []
 
 
+def sample_shares(got, margin, rows):
+    sums = got[rows].groupby(margin).n_tokens.sum()
+    return sums / sums.sum()
+
+
+def test_sample_has_the_target_shares(spark, table):
+    """A rare topic and a rare source, all of whose documents are wanted: the others make room within the budget."""
+    rng = random.Random(14)
+    rows = []
+    for i in range(1500):
+        n = rng.choice([60, 60, 200, 200, 200, 700])
+        text = prose(rng, n, [str(rng.randrange(10**9)) for _ in range(n // 6)] if i % 40 == 0 else ())
+        rows.append((i, text, "es" if i % 9 == 0 else "en", "rare" if i % 13 == 0 else "b" if i % 4 == 0 else "a"))
+    docs = table(rows)
+    got, before = mixing.mixed(docs, within=True).toPandas(), mixing.mixed(docs).toPandas()
+    worst = {"after": 0.0, "before": 0.0}
+    for margin in mixing.MARGINS:
+        goal = got.groupby(margin).n_tokens.sum() ** mixing.FLATTEN[margin]
+        goal = goal / goal.sum()
+        for name, table_of in (("after", got), ("before", before)):
+            sums = (table_of.n_tokens * table_of.probability).groupby(table_of[margin]).sum()
+            worst[name] = max(worst[name], (sums / sums.sum() / goal - 1).abs().max())
+        assert (sample_shares(got, margin, got.selected) - goal).abs().max() < 0.03
+    print("largest relative miss of a target:", worst)
+    assert worst["after"] <= 0.011 < worst["before"]
+    assert got.probability.between(0, 1).all() and 0.1 < (got.n_tokens * got.probability).sum() / got.n_tokens.sum() <= mixing.BUDGET + 1e-9
+    kept = mixing.sample_to_targets(docs)
+    assert kept.columns == docs.columns and kept.count() == got.selected.sum()
+    asked = mixing.mixed(docs, within=True, shares={"lang": {"en": 1, "es": 1, "absent": 5}}).toPandas()
+    sums = (asked.n_tokens * asked.probability).groupby(asked.lang).sum()
+    assert abs(sums["es"] / sums.sum() - 0.5) < 0.01
+    assert mixing.mixed(docs.where("doc_id > 5000"), within=True).collect() == []
+
+
 def test_mixture_sql(spark):
     from __spark_entry__ import oracle_sql, queries
 
