@@ -145,8 +145,11 @@ def _keyed_words(docs: DataFrame) -> DataFrame:
     return _keyed(docs).mapInArrow(run, "k1 long, k2 long, bytes binary")
 
 
-def anchors(keyed: DataFrame, window: int = WINDOW, core: int = CORE) -> DataFrame:
-    """(k1, k2, pos, right, g, ctx): the anchors, the hash of the core and the digest of the context."""
+def anchors(docs: DataFrame, window: int = WINDOW, core: int = CORE, words: bool = False) -> DataFrame:
+    """(k1, k2, pos, right, g, ctx): the anchors, the hash of the core and the digest of the context.
+
+    ``words``: of the ``word_bytes``, made in the same worker, as a second one per task would have its own memory.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         finder, reach = _finder(window, core), window - core
@@ -154,7 +157,7 @@ def anchors(keyed: DataFrame, window: int = WINDOW, core: int = CORE) -> DataFra
             k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
             rows, ats, rights, gs, ctx = [], [], [], [], []
             for i, value in enumerate(batch.column("bytes")):
-                text = value.as_py()
+                text = word_bytes(value.as_py()) if words else value.as_py()
                 at, g = finder.find(text)
                 if not len(at):
                     continue
@@ -177,7 +180,7 @@ def anchors(keyed: DataFrame, window: int = WINDOW, core: int = CORE) -> DataFra
                 names=["k1", "k2", "pos", "right", "g", "ctx"],
             )
 
-    return keyed.select("k1", "k2", "bytes").mapInArrow(run, ANCHOR)
+    return _keyed(docs).select("k1", "k2", "bytes").mapInArrow(run, ANCHOR)
 
 
 # --- interval tree --------------------------------------------------------------------------------
@@ -305,18 +308,17 @@ def resolve(contexts: DataFrame, window: int = WINDOW, core: int = CORE) -> Data
 
 def repeat_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
     """(k1, k2, spans): the repeated byte ranges of each document that has some, not yet merged."""
-    return keyed_spans(_keyed(docs), window, core, crowded, block)
+    return _spans(docs, window, core, crowded, block)
 
 
 def word_spans(docs: DataFrame, words: int = PASSAGE, core: int = PASSAGE_CORE, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
     """(k1, k2, word_spans): the same in bytes of ``word_bytes``, for repeats of ``words`` words."""
-    return keyed_spans(_keyed_words(docs), words * WORD_BYTES, core * WORD_BYTES, crowded, block).withColumnRenamed("spans", "word_spans")
+    return _spans(docs, words * WORD_BYTES, core * WORD_BYTES, crowded, block, True).withColumnRenamed("spans", "word_spans")
 
 
-def keyed_spans(keyed: DataFrame, window: int, core: int, crowded: int, block: int) -> DataFrame:
-    """(k1, k2, spans) of the ``bytes`` of ``keyed``."""
+def _spans(docs: DataFrame, window: int, core: int, crowded: int, block: int, words: bool = False) -> DataFrame:
     reach = window - core
-    found = settle(anchors(keyed, window, core), "anchors")
+    found = settle(anchors(docs, window, core, words), "anchors")
     often = found.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("a"), F.max("ctx").alias("b")).where("n > 1")
     lo = F.greatest(F.col("pos") - F.lit(reach), F.lit(0))
     # Written first: then the join has an exchange of its own on both sides, and a core that fills a large
@@ -344,7 +346,7 @@ def keyed_spans(keyed: DataFrame, window: int, core: int, crowded: int, block: i
             F.substring(F.col("bytes"), a["pos"] + 1, a["hi"] - a["pos"]).alias("right"),
         ),
     )
-    texts = keyed.join(per_doc.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", around.alias("around"))
+    texts = (_keyed_words(docs) if words else _keyed(docs)).join(per_doc.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", around.alias("around"))
     cut = texts.select("k1", "k2", F.explode("around").alias("c")).select("k1", "k2", "c.*")
     own = F.pmod(F.xxhash64("k1", "k2", "pos"), F.col("blocks")).cast("int")
     partner = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least(o, F.col("own")).cast("long") * F.lit(1 << 32) + F.greatest(o, F.col("own")))
