@@ -139,6 +139,7 @@ def calibrate_within(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
     # Margins that contradict each other are not met by any budget: then no more is asked than raking without bounds gives.
     budget, allowed = min(budget, room), max(TOLERANCE, 1.1 * _miss(table, F.col("w"), 1.0))
     taken = F.least("share", "v")
+    best, chosen = float("inf"), table
     for _ in range(LOWERINGS):
         last = float("inf")
         for _ in range(PASSES):
@@ -149,10 +150,13 @@ def calibrate_within(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
             if miss <= allowed or miss > 0.8 * last:
                 break
             last = miss
+        # A smaller sample has to be clearly nearer to the targets; if no budget meets them, the nearest one is taken.
+        if miss <= allowed or miss < 0.8 * best:
+            best, chosen = miss, table
         if miss <= allowed:
             break
         budget *= STEP
-    return table.select(*MARGINS, (F.col("w") / F.col("share")).alias("weight"), (taken / F.col("share")).alias("probability"))
+    return chosen.select(*MARGINS, (F.col("w") / F.col("share")).alias("weight"), (taken / F.col("share")).alias("probability"))
 
 
 def mixed(
