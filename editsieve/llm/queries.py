@@ -15,6 +15,7 @@ from editsieve.llm.sketch import edited_pairs
 from editsieve.llm.token_cache import cached_counts
 from editsieve.llm.token_frames import token_frames
 from editsieve.llm.toxicity import toxicity
+from editsieve.llm.vector_codes import compress_vectors
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +77,8 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_mixture"] = mixing.oracle()
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
