@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from editsieve.llm import mixing
+from editsieve.llm.collocations import ORACLE as COLLOCATIONS_SQL
+from editsieve.llm.collocations import collocations
 from editsieve.llm.common import documents
 from editsieve.llm.fertility import quality_rules
 from editsieve.llm.maxent_lm import language_model_scores
@@ -82,3 +84,11 @@ ORACLES["op10_mixture"] = mixing.oracle()
 @query
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_vectors(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(spark, documents(spark, sf_dir))
+
+
+ORACLES["op12_collocations"] = COLLOCATIONS_SQL
