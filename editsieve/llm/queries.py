@@ -11,6 +11,7 @@ from editsieve.llm.common import documents
 from editsieve.llm.fertility import quality_rules
 from editsieve.llm.maxent_lm import language_model_scores
 from editsieve.llm.packing import packed_documents
+from editsieve.llm.quality_cnn import quality_scores
 from editsieve.llm.repeats import repeat_report
 from editsieve.llm.simhash import simhash_components
 from editsieve.llm.sketch import edited_pairs
@@ -92,3 +93,8 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_collocations"] = COLLOCATIONS_SQL
+
+
+@query
+def op13_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
