@@ -268,5 +268,5 @@ def diff_whole_stripped(spark, sf_dir):
 
 @query("SELECT page_id, substr(html, 1, 4000) AS added_text, '' AS removed_text FROM pages")
 def diff_raw_truncated(spark, sf_dir):
-    added, removed = tx.diff_texts(F.col("html"), "raw")
+    added, removed = tx.diff_texts(F.col("html"), "raw:4000")
     return table(spark, sf_dir, "pages").select("page_id", added.alias("added_text"), removed.alias("removed_text"))

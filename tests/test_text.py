@@ -91,7 +91,9 @@ def test_diff_modes(spark):
     added, removed = texts("unescaped", DIFF)
     assert (added, removed) == ("new  &\nline  two three", "old\n x")
     assert texts("whole", "<p>a</p>&nbsp;b ") == ("a  b", "")
-    assert texts("raw", "z" * 5000) == ("z" * 4000, "")
+    assert texts("raw", "z" * 5000) == ("z" * 5000, "")
+    assert texts("raw:4000", "z" * 5000) == ("z" * 4000, "")
+    assert texts("raw:4000", None) == ("", "")
     assert texts("collapsed", "<p>none</p>") == ("", "")
 
 
