@@ -8,7 +8,8 @@ the chunk maxima are combined over the document as their maximum and as their by
 turns both into the probability of label 1.
 
 Training uses the labelled rows whose ``crc32(doc_id as text) mod FOLDS`` is not ``HELD_OUT``: at most ``TRAIN_ROWS`` of them
-(by a hash of the id), of at most ``TRAIN_BYTES`` bytes each (a longer labelled text is no training example). That bounded
+(by a hash of the id, among the first ``CANDIDATES`` usable labelled ids), of at most ``TRAIN_BYTES`` bytes each (a longer
+labelled text is no training example). That bounded
 sample is fitted on the driver by Adam with back-propagation through the max-pools (gradients reach the table rows at the
 winning positions only). Scoring is a ``mapInPandas`` over every whole text; the weights (``WIDTH * 257 * FILTERS`` numbers) go to
 the tasks. Labels, language, source and id are never inputs of a score.
@@ -37,7 +38,9 @@ FILTERS = 32
 CHUNK = 2048
 PAD = 256
 TRAIN_ROWS = 4000
-TRAIN_BYTES = 60_000
+TRAIN_BYTES = 20_000
+# Labelled ids looked up in the documents to fill the sample (some texts may be too long).
+CANDIDATES = 2 * TRAIN_ROWS
 EPOCHS = 12
 BATCH = 32
 RATE = 0.01
@@ -155,16 +158,26 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The bounded sample of labelled, not held-out whole texts."""
+    """The bounded sample of labelled, not held-out whole texts.
+
+    The ids are chosen from ``labels`` alone (the first ``CANDIDATES`` usable ids by hash), and only that bounded id list
+    meets the documents, as a broadcast: no text is shuffled. Of those, texts over ``TRAIN_BYTES`` are no example, and the
+    first ``TRAIN_ROWS`` by the same hash order are the sample.
+    """
+    spark = docs.sparkSession
     one = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min("quality").alias("lo"), F.max("quality").alias("hi"), F.count("quality").alias("n"), F.count(F.lit(1)).alias("all"))
-    usable = one.where((F.col("lo") == F.col("hi")) & (F.col("n") == F.col("all"))).select("doc_id", F.col("lo").alias("y"))
+    usable = one.where((F.col("lo") == F.col("hi")) & (F.col("n") == F.col("all")) & ~held_out(F.col("doc_id")))
+    order = [F.xxhash64(F.col("doc_id").cast("long")), F.col("doc_id").cast("long")]
+    chosen = usable.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lo").alias("y")).orderBy(*order).limit(CANDIDATES).collect()
+    if not chosen:
+        return [], np.array([])
+    ids = F.broadcast(spark.createDataFrame(chosen, "doc_id long, y int"))  # at most CANDIDATES rows
     rows = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .where(~held_out(F.col("doc_id")))
-        .join(usable, "doc_id")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        .join(ids, "doc_id")
         .where(F.octet_length("text") <= TRAIN_BYTES)
-        .orderBy(F.xxhash64("doc_id", "text"), "doc_id")
+        .orderBy(*order)
         .limit(TRAIN_ROWS)
         .collect()
     )

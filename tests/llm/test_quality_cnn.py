@@ -20,10 +20,8 @@ def test_gradient_matches_finite_differences():
     rng = np.random.default_rng(1)
     texts, y = ["abc | def | ghi", "plain words here and there", "x" * 5000 + " tail", ""], np.array([0.0, 1.0, 1.0, 0.0])
     net = q.Network(rng.normal(0, 0.3, (q.WIDTH, 257, q.FILTERS)), rng.normal(0, 0.1, q.FILTERS), rng.normal(0, 0.3, 2 * q.FILTERS), np.zeros(1))
-    # one plain gradient step with the rate set tiny equals the analytic direction: compare loss changes
+    # the table row of the winning window's first byte: analytic gradient of one filter against finite differences
     before = loss(net, texts, y)
-    stepped = q.fit.__wrapped__(texts, y, net) if hasattr(q.fit, "__wrapped__") else None
-    assert stepped is None  # fit has no hook; check the gradient by perturbing the table rows it touches
     b = q._bytes(texts[0])
     best, where, weights, top, feats = q._forward(net, b)
     j = int(np.argmax(best[0] > 0))
@@ -37,8 +35,7 @@ def test_gradient_matches_finite_differences():
     numeric = (up - down) / (2 * eps)
     z = float(feats @ net.out + net.out_bias[0])
     d = 1 / (1 + np.exp(-z)) - y[0]
-    count = int(sum(b[where[0, j] + s] == byte for s in range(q.WIDTH) if s == 0))
-    analytic = d * (net.out[j] + weights[0] * net.out[q.FILTERS + j]) * count
+    analytic = d * (net.out[j] + weights[0] * net.out[q.FILTERS + j])
     assert abs(numeric - analytic) < 1e-4 * max(1, abs(analytic))
     assert before > 0
 
@@ -68,9 +65,8 @@ def test_held_out_accuracy_and_contract(spark, table):
     right = sum((r.predicted == 1) == (truth[r.doc_id] == 1) for r in held)
     assert right / len(held) >= 0.95
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
-    same = {}
-    for r, (_, text) in zip(sorted(got, key=lambda r: (r.doc_id is None, r.doc_id or 0)), []):
-        same.setdefault(text, set()).add(r.score)
+    fives = {r.score for r in got if r.doc_id == 5}
+    assert len(fives) == 3  # four rows of id 5: two share a text, two others differ
 
 
 def test_without_two_classes_and_empty(spark, table):
