@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,8 +86,8 @@ def score_rows(df: DataFrame, cfg: HarvestConfig) -> DataFrame:
 
 
 def stage_shard(
-    changes: DataFrame, payloads: DataFrame, index: DataFrame | None, state: DataFrame | None,
-    cfg: HarvestConfig, run_ts: str,
+    changes: DataFrame, payloads: DataFrame, index: DataFrame | Callable[[DataFrame], DataFrame] | None,
+    state: DataFrame | None, cfg: HarvestConfig, run_ts: str,
 ) -> DataFrame:
     """Every key with its fate, written once.
 
@@ -93,6 +95,7 @@ def stage_shard(
     newest copy that is *not* sampled out stands for it (or the newest, if all are). ``copies`` says how many
     candidates a row stands for, ``sampled_copies`` how many of them were sampled out before the key was claimed,
     ``diffs_spent`` how many used the diff budget; ``known`` keys are in the index already; a null bucket is sampled out.
+    ``index`` is a table of keys, or a function that gives the index keys that matter for the staged keys (a pruned index).
     """
     found = with_dedup_key(candidates(changes, payloads, state, cfg, run_ts))
     scored = score_rows(found, cfg).withColumn("source", F.concat(F.lit(cfg.source_prefix + "_"), "lang"))
@@ -115,7 +118,9 @@ def stage_shard(
         "sampled_copies", F.when(out, F.col("copies")).otherwise(F.coalesce("newer_out", F.lit(0)))
     )
     staged = settle(staged.drop("newer_out", "copies_out"), "staged")
-    return staged.withColumn("known", F.lit(False)) if index is None else flag_known_keys(staged, index)
+    if index is None:
+        return staged.withColumn("known", F.lit(False))
+    return flag_known_keys(staged, index(staged) if callable(index) else index)
 
 
 def written_tags(cfg: HarvestConfig) -> Column:
@@ -127,8 +132,8 @@ def shard_rows(staged: DataFrame) -> DataFrame:
     return staged.where(~F.col("known") & F.col("sampling_bucket").isNotNull()).select(*SHARD_COLUMNS)
 
 
-def run_counters(staged: DataFrame, index: DataFrame | None = None) -> DataFrame:
-    """Per-language counters of one run."""
+def run_counters(staged: DataFrame, index: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
+    """Per-language counters of one run. The index size comes from ``sizes`` (lang, size) if given, else from counting ``index``."""
     written = ~F.col("known") & F.col("sampling_bucket").isNotNull()
     n = F.sum(F.when(written, 1).otherwise(0))
     out = staged.groupBy("lang").agg(
@@ -140,9 +145,12 @@ def run_counters(staged: DataFrame, index: DataFrame | None = None) -> DataFrame
         ).alias("dedup_dropped"),
         F.sum(F.when(~F.col("known"), F.col("sampled_copies")).otherwise(0)).alias("sampled_dropped"),
     )
-    if index is None:
+    if index is None and sizes is None:
         return out.withColumn("dedup_index_size", F.col("rows_written"))
-    size = index.groupBy("lang").agg(F.count(F.lit(1)).alias("__size"))
+    if sizes is not None:
+        size = sizes.select("lang", F.col("size").alias("__size"))
+    else:
+        size = index.groupBy("lang").agg(F.count(F.lit(1)).alias("__size"))
     joined = null_safe_join(out, size, ["lang"], "left")
     return joined.withColumn("dedup_index_size", F.coalesce("__size", F.lit(0)) + F.col("rows_written")).drop("__size")
 

@@ -1,8 +1,8 @@
 """Change events as a stream: every micro-batch goes through the batch operators.
 
 ``foreachBatch`` writes under the batch's id, so a replayed batch replaces its own output. What
-earlier batches have stored is read back from the committed shards of lower ids, so there is no
-second index that could disagree with them.
+earlier batches have stored is found in a key index (``sources.key_index``) that a run extends by the keys it wrote, so
+a batch reads only the index buckets and files its own keys may be in.
 """
 
 from __future__ import annotations
@@ -11,18 +11,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import HarvestConfig
 from ..functions.text import parse_ts
 from ..operators import select as sel
 from ..operators import shards as sh
-from ..operators.joins import KEY, drop_known_keys
-from ..operators.scale import first_per_key, null_safe_join
+from ..operators.joins import KEY
+from ..operators.scale import first_per_key, null_safe_join, settle
 from ..schemas import CHANGE
 from ..sources import sinks
-from ..sources.readers import or_empty
+from ..sources.key_index import KeyIndex
 
 
 def run_name(batch_id: int) -> str:
@@ -47,25 +46,21 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
     )
 
 
-def earlier(table: DataFrame, run: str) -> DataFrame:
-    """What runs before ``run`` have committed (a partition filter)."""
-    return table.where(F.col("run") < run)
-
-
 def harvest_batch(
     spark: SparkSession, payloads: DataFrame, out: str, cfg: HarvestConfig, run_ts: str, use_cursor: bool = True
 ) -> Callable[[DataFrame, int], None]:
     """Handler that builds, stores and accounts for one micro-batch."""
     shards, state, counters = f"{out}/shards", f"{out}/state", f"{out}/counters"
+    keys = KeyIndex(spark, f"{out}/index")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         run = run_name(batch_id)
-        index = earlier(sinks.read_shard_table(spark, shards), run).select(*KEY)
         cursor = sinks.read_cursor_state(spark, state, before=run) if use_cursor else None
-        staged = sh.stage_shard(batch, payloads, index, cursor, cfg, run_ts)
+        staged = sh.stage_shard(batch, payloads, lambda asked: keys.candidates(asked, before=run), cursor, cfg, run_ts)
         rows = sh.shard_rows(staged)
         sinks.write_shards(rows, shards, run)
-        counts = sh.run_counters(staged, index)
+        keys.add_new(rows, run)  # one row per key, none known before
+        counts = sh.run_counters(staged, sizes=keys.sizes(before=run))
         counts.write.mode("overwrite").parquet(f"{counters}/run={run}")
         full = null_safe_join(sh.newest_cursor(rows), counts, ["lang"], "inner")
         sinks.append_cursor_state(full.withColumn("updated_at", F.lit(run_ts)), state, run)
@@ -74,13 +69,20 @@ def harvest_batch(
 
 
 def dedup_batch(spark: SparkSession, out: str, order: str = "timestamp") -> Callable[[DataFrame, int], None]:
-    """Handler that stores the rows whose (lang, dedup_key) no earlier batch has stored."""
+    """Handler that stores the rows whose (lang, dedup_key) no earlier batch has stored.
+
+    Earlier keys are looked up in a key index under ``out/_index`` (hidden from readers of ``out``), which reads only
+    the buckets and files the batch's keys may be in, so the cost of a batch does not grow with the batches before it.
+    """
+    keys = KeyIndex(spark, f"{out}/_index")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         run = run_name(batch_id)
-        seen = earlier(_runs(spark, out, batch), run)
-        fresh = drop_known_keys(first_per_key(batch, KEY, [F.col(order)]), seen)
+        first = settle(first_per_key(batch, KEY, [F.col(order)]), "first")
+        known = keys.known(first, before=run).withColumn("__known", F.lit(True))
+        fresh = settle(null_safe_join(first, known, KEY, "left").where(F.col("__known").isNull()).drop("__known"), "fresh")
         fresh.write.mode("overwrite").parquet(f"{out}/run={run}")
+        keys.add_new(fresh, run)
 
     return handle
 
@@ -95,11 +97,6 @@ def late_drop_batch(out: str, state: DataFrame) -> Callable[[DataFrame, int], No
     return handle
 
 
-def _runs(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    schema = T.StructType([*like.schema.fields, T.StructField("run", T.StringType())])
-    return or_empty(spark, lambda: spark.read.schema(schema).parquet(path), schema)
-
-
 def dedup_within_watermark(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     """Bounded-state alternative: duplicates are recognised within ``delay`` of event time only."""
     timed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
