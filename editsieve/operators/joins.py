@@ -13,6 +13,7 @@ KEY = ["lang", "dedup_key"]
 
 def attach_diffs(
     changes: DataFrame, payloads: DataFrame, mode: str = "collapsed", how: str = "left", wanted: Column | None = None,
+    found: str | None = None,
 ) -> DataFrame:
     """Join each change with its compare payload and extract (added, removed) text.
 
@@ -22,6 +23,7 @@ def attach_diffs(
     so raw HTML is never shuffled; then only the payloads that ``changes`` asks for go on (an inner join
     with their distinct ids: a semi join would be pushed below the extraction). Of several payloads
     with the same ids the smallest pair of texts counts. Pass a settled table of changes, it is read twice.
+    ``found`` names a boolean column that tells whether a payload was there.
     """
     keys = ["old_revid", "revid"]
     wanted = F.lit(True) if wanted is None else wanted
@@ -35,6 +37,8 @@ def attach_diffs(
     spread = -F.abs(F.shiftright(F.xxhash64("title", "user", "timestamp", "revid"), 1)) - 1
     left = changes.drop("added_text", "removed_text").withColumn("__id", F.when(wanted, F.col("revid")).otherwise(spread))
     joined = left.join(diffs, (F.col("old_revid") == F.col("__old")) & (F.col("__id") == F.col("__new")), how)
+    if found:
+        joined = joined.withColumn(found, F.col("__new").isNotNull())
     return joined.withColumns(
         {c: tx.null_to_empty(F.col(c)) for c in ("added_text", "removed_text")}
     ).drop("__id", "__old", "__new")

@@ -45,8 +45,9 @@ def candidates(
     cfg: HarvestConfig,
     run_ts: str,
     mode: str = "collapsed",
+    found: str | None = None,
 ) -> DataFrame:
-    """Cap -> cursor -> revert switch -> diff budget -> diff text, in that order."""
+    """Cap -> cursor -> revert switch -> diff budget -> diff text, in that order. ``found``: see ``attach_diffs``."""
     # The caps below look at the changes several times; they carry no diff text yet.
     df = settle(prepare_changes(changes, run_ts), "changes")
     df = sel.limit_newest(df, cfg.scan_cap, "tie")
@@ -54,7 +55,7 @@ def candidates(
     if not cfg.include_non_reverts:
         df = sel.reverts_only(df)
     df = sel.mark_budget(df, cfg.max_diffs, "tie")
-    return attach_diffs(settle(df, "batch"), payloads, mode, "left", F.col("in_budget"))
+    return attach_diffs(settle(df, "batch"), payloads, mode, "left", F.col("in_budget"), found)
 
 
 def with_dedup_key(df: DataFrame, lengths: tuple[int | None, int | None, int | None] = (None, None, None)) -> DataFrame:
@@ -88,6 +89,7 @@ def score_rows(df: DataFrame, cfg: HarvestConfig) -> DataFrame:
 def stage_shard(
     changes: DataFrame, payloads: DataFrame, index: DataFrame | Callable[[DataFrame], DataFrame] | None,
     state: DataFrame | None, cfg: HarvestConfig, run_ts: str,
+    ready: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Every key with its fate, written once.
 
@@ -96,8 +98,13 @@ def stage_shard(
     candidates a row stands for, ``sampled_copies`` how many of them were sampled out before the key was claimed,
     ``diffs_spent`` how many used the diff budget; ``known`` keys are in the index already; a null bucket is sampled out.
     ``index`` is a table of keys, or a function that gives the index keys that matter for the staged keys (a pruned index).
+    ``ready`` decides which candidates go on now: it gets them with a boolean ``has_diff`` and returns those that go on
+    (as ``harvest.pending_payloads`` does for payloads that land late).
     """
-    found = with_dedup_key(candidates(changes, payloads, state, cfg, run_ts))
+    if ready is None:
+        found = with_dedup_key(candidates(changes, payloads, state, cfg, run_ts))
+    else:
+        found = with_dedup_key(ready(candidates(changes, payloads, state, cfg, run_ts, found="has_diff")).drop("has_diff"))
     scored = score_rows(found, cfg).withColumn("source", F.concat(F.lit(cfg.source_prefix + "_"), "lang"))
     newest = sel.newest_order(F.col("ts"), F.col("revid"), F.col("tie"))
     out = F.col("sampling_bucket").isNull()

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import HarvestConfig
@@ -46,17 +47,61 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
     )
 
 
+def pending_payloads(
+    spark: SparkSession, path: str, run: str, payloads: DataFrame, wait_runs: int, mode: str = "collapsed",
+) -> Callable[[DataFrame], DataFrame]:
+    """``ready`` step of ``stage_shard`` for payloads that land after their change.
+
+    A candidate that wants a diff whose payload is not there yet waits: it is written to the snapshot ``path/run=<run>``
+    instead of going on. The next run reads the newest snapshot before it, joins those rows with the payloads it sees
+    (``attach_diffs``), and lets the found ones go on with their text; the others wait again. After ``wait_runs`` runs a
+    row goes on with empty text, as a failed diff does. A replayed run rebuilds its snapshot from the one before, so it
+    gives the same rows; dedup comes after this step, so no row is stored twice. ``wait_runs = 0`` never waits.
+    """
+
+    def ready(cands: DataFrame) -> DataFrame:
+        if wait_runs <= 0:
+            return cands
+        from ..operators.joins import attach_diffs
+        from ..sources.readers import or_empty
+
+        fresh = cands.withColumn("attempts", F.lit(0))
+        schema = T.StructType([*fresh.schema.fields, T.StructField("run", T.StringType())])
+        snapshots = or_empty(spark, lambda: spark.read.schema(schema).parquet(path), schema)
+        last = snapshots.where(F.col("run") < run).select(F.max("run")).first()[0]  # one value
+        if last is None:
+            rows = fresh
+        else:
+            waiting = settle(snapshots.where(F.col("run") == last).drop("run", "has_diff"), "waiting")
+            retried = attach_diffs(waiting, payloads, mode, "left", F.lit(True), "has_diff")
+            rows = fresh.unionByName(retried.withColumn("attempts", F.col("attempts") + 1).select(*fresh.columns))
+        rows = settle(rows, "ready")
+        waits = F.col("in_budget") & ~F.col("has_diff") & (F.col("attempts") < wait_runs)
+        rows.where(waits).write.mode("overwrite").parquet(f"{path}/run={run}")
+        return rows.where(~waits).drop("attempts")
+
+    return ready
+
+
 def harvest_batch(
-    spark: SparkSession, payloads: DataFrame, out: str, cfg: HarvestConfig, run_ts: str, use_cursor: bool = True
+    spark: SparkSession, payloads: DataFrame | Callable[[], DataFrame], out: str, cfg: HarvestConfig, run_ts: str,
+    use_cursor: bool = True, wait_runs: int = 0,
 ) -> Callable[[DataFrame, int], None]:
-    """Handler that builds, stores and accounts for one micro-batch."""
+    """Handler that builds, stores and accounts for one micro-batch.
+
+    ``payloads`` is a table, or a function that reads the payloads landed so far (called once per batch); with
+    ``wait_runs`` > 0 a change whose payload has not landed waits up to that many runs for it (``pending_payloads``).
+    """
     shards, state, counters = f"{out}/shards", f"{out}/state", f"{out}/counters"
     keys = KeyIndex(spark, f"{out}/index")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         run = run_name(batch_id)
         cursor = sinks.read_cursor_state(spark, state, before=run) if use_cursor else None
-        staged = sh.stage_shard(batch, payloads, lambda asked: keys.candidates(asked, before=run), cursor, cfg, run_ts)
+        landed = payloads() if callable(payloads) else payloads
+        ready = pending_payloads(spark, f"{out}/pending", run, landed, wait_runs)
+        index = lambda asked: keys.candidates(asked, before=run)
+        staged = sh.stage_shard(batch, landed, index, cursor, cfg, run_ts, ready)
         rows = sh.shard_rows(staged)
         sinks.write_shards(rows, shards, run)
         keys.add_new(rows, run)  # one row per key, none known before
