@@ -52,11 +52,15 @@ def count_texts(texts: DataFrame, path: str, version: str) -> DataFrame:
 
 
 def read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame:
-    """Stored counts of one tokenizer version; an absent cache is an empty one."""
+    """Stored counts of one tokenizer version, one row per digest; an absent cache is an empty one.
+
+    The same digest may be stored more than once (two runs at once, a repeated append); its counts are equal, and the
+    smallest is taken, so a lookup never multiplies rows. Copies combine on the map side.
+    """
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(cache)
     found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
     table = spark.read.schema(CACHE).parquet(cache) if found else spark.createDataFrame([], CACHE)
-    return table.where(F.col("version") == version).select("content", "n_tokens")
+    return table.where(F.col("version") == version).groupBy("content").agg(F.min("n_tokens").alias("n_tokens"))
 
 
 def refresh_cache(docs: DataFrame, cache: str, path: str) -> str:

@@ -161,3 +161,16 @@ def test_cache_of_a_model_file(spark, table):
     rows = odd_rows()
     got = {(r.doc_id, r.n_bytes): r.n_tokens for r in cached_counts(spark, table(rows), path).collect()}
     assert got == {(r[0], len((r[1] or "").encode())): len(model.encode(r[1] or "")) for r in rows}
+
+
+def test_cache_appended_twice_gives_one_row_per_document(spark, table):
+    rows = odd_rows()
+    cache = scratch_path(spark, "cache")
+    version = tokenizer_version(PATH)
+    first = sorted(map(tuple, token_counts(table(rows), cache, PATH).collect()), key=repr)
+    stored = spark.read.parquet(cache)
+    stored.write.mode("append").parquet(cache + "-copy")
+    spark.read.parquet(cache + "-copy").write.mode("append").parquet(cache)  # every entry stored twice now
+    assert spark.read.parquet(cache).count() == 2 * read_cache(spark, cache, version).count()
+    again = sorted(map(tuple, token_counts(table(rows), cache, PATH).collect()), key=repr)
+    assert again == first and len(again) == len(rows)
