@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from editsieve.llm.common import settle, shuffle_width
 
@@ -434,10 +435,10 @@ def _without(docs: DataFrame, spans: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("row")], names=["text", "row"])
 
     others = [c for c in docs.columns if c != "text"]
-    row = F.struct(*(docs[c] for c in others)).alias("row")
+    row = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in others)).alias("row")
     joined = _keyed(docs, row).join(spans.hint("shuffle_hash"), ["k1", "k2"], "left").select("bytes", "spans", "word_spans", "row")
-    fields = joined.schema["row"].dataType.simpleString()
-    cut = joined.mapInArrow(run, f"text string, row {fields}")
+    out = T.StructType([T.StructField("text", T.StringType()), T.StructField("row", joined.schema["row"].dataType)])
+    cut = joined.mapInArrow(run, out)
     new_length = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in others else None
     fresh = {"text": F.col("text"), "n_chars": new_length}
-    return cut.select(*(fresh[c].alias(c) if fresh.get(c) is not None else F.col(f"row.`{c}`") for c in docs.columns))
+    return cut.select(*(fresh[c].alias(c) if fresh.get(c) is not None else F.col("row.`" + c.replace("`", "``") + "`") for c in docs.columns))

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FOLDS = 5
 SAMPLE = {1: 1600, 0: 3200}
@@ -185,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
 
 def score_column(docs: DataFrame, model: ToxicModel | None, carried: list[str]) -> DataFrame:
     """(*carried, score); texts come from ``text``."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carried).schema.fields)
+    kinds = T.StructType([*docs.select(*carried).schema.fields, T.StructField("score", T.DoubleType())])
     source = docs.select(*carried, F.coalesce("text", F.lit("")).cast("binary").alias("bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -200,7 +201,7 @@ def score_column(docs: DataFrame, model: ToxicModel | None, carried: list[str])
                 scores = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(scores)], names=[*carried, "score"])
 
-    return source.mapInArrow(run, f"{kinds}, score double")
+    return source.mapInArrow(run, kinds)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -212,5 +213,6 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those scored toxic."""
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), "text")
+    quoted = (F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)
+    rows = docs.select(F.struct(*quoted).alias("row"), "text")
     return score_column(rows, fit(docs, labels), ["row"]).where("score < 0.5").select("row.*")
