@@ -24,8 +24,10 @@ def with_text(df: DataFrame) -> DataFrame:
     return df.withColumn("text", fx.text_blob(*(F.col(c) for c in ("title", "comment", "added_text", "removed_text"))))
 
 
-def with_burst(df: DataFrame, user_counts: DataFrame | None = None) -> DataFrame:
-    """Rows per user over the whole input, or looked up in ``user_counts(user, burst_count)``."""
+def with_burst(df: DataFrame, user_counts: DataFrame | None = None, given: bool = False) -> DataFrame:
+    """Rows per user over the whole input, looked up in ``user_counts(user, burst_count)``, or ``given`` in the rows."""
+    if given:
+        return df
     if user_counts is None:
         return attach_count(df, null_to_empty(F.col("user")), "burst_count")
     joined = df.join(user_counts.select("user", "burst_count"), "user", "left")
@@ -48,12 +50,13 @@ def row_features() -> dict:
     }
 
 
-def enrich_features(df: DataFrame, user_counts: DataFrame | None = None) -> DataFrame:
+def enrich_features(df: DataFrame, user_counts: DataFrame | None = None, given: bool = False) -> DataFrame:
     """Input columns plus ``text`` and the ten numeric features.
 
-    The user count joins the raw rows first, so the derived text is never shuffled.
+    The user count joins the raw rows first, so the derived text is never shuffled. ``given``: the rows carry
+    ``burst_count`` already (live counts of a stream).
     """
-    return with_text(with_burst(safe_text(df), user_counts)).withColumns(row_features())
+    return with_text(with_burst(safe_text(df), user_counts, given)).withColumns(row_features())
 
 
 def project_features(df: DataFrame, wanted: list[str] | None = None) -> DataFrame:
