@@ -12,7 +12,7 @@ from editsieve.llm.common import documents, scratch_path
 from editsieve.llm.mixing import sample_to_targets
 from editsieve.llm.packing import packed_documents
 from editsieve.llm.repeats import remove_passages
-from editsieve.llm.simhash import keep_one_similar
+from editsieve.llm.simhash import NEAR, keep_one
 from editsieve.llm.toxicity import reject_toxic
 
 
@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one_similar(docs)
+    return keep_one(docs, **NEAR)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,9 +10,16 @@ distinct fingerprints lie (a family of near copies) would make the square of the
 Such buckets are split in blocks, and each pair of blocks gives just the links of a spanning forest, found by a
 search that never compares what it has reached. No link between components is lost by that.
 
+Crowded values come first: what they connect is one component, and the search under all other values gives only links
+between different components. So a family that fills some values and lies scattered around them gives no square either.
+
 Choose ``segments`` such that a segment has about log2(distinct fingerprints) bits: 3 up to some hundred
 million, 2 beyond. The result does not depend on it.
 
+``keep_one`` drops copies and near copies by this search. For near copies take ``NEAR``: shingles of two words, of which an edited word spoils fewer,
+and a radius of 7 bits in four segments, each searched in a ball of one bit. Few shingles leave many bits at zero, and that alone would
+make fingerprints near, so texts of fewer than ``short`` words are near only if their words are the same.
+
 ``keep_one_similar`` drops near copies by the Jaccard similarity of their word shingles. At a similarity of 0.8 about one bit in seven differs, out of
 reach of small Hamming balls, so it takes 512 bits instead and many overlapping bands of them (``band_plan``). A pair that
 shares a band value is a candidate, and counts if the texts, taken from the table, have the similarity.
@@ -32,13 +39,15 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from editsieve.llm.common import id_text, settle
 from editsieve.llm.components import components
 
 WORDS, RADIUS, SEGMENTS, SEED = 4, 4, 3, 42
+# Near copies: words of a shingle, radius, segments, and the words from which a text has a fingerprint of its shingles.
+NEAR = {"words": 2, "radius": 7, "segments": 4, "short": 16}
 # Distinct fingerprints under one segment value from which it is split.
 CROWDED = 256
 BLOCK = 4096
@@ -68,12 +77,14 @@ def shingle_digests(text: bytes, words: int) -> np.ndarray:
     return np.frombuffer(b"".join([digest(line[a:b], SEED) for a, b in zip(first, last)]), dtype=np.uint8)
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """64-bit SimHash of the word shingles of a UTF-8 text, as a signed integer."""
+def fingerprint(text: bytes, words: int = WORDS, short: int = 0) -> int:
+    """64-bit SimHash of the word shingles of a UTF-8 text, as a signed integer; below ``short`` words the hash of them all."""
     hashes = shingle_digests(text, words)
     n = len(hashes) // 8
     if not n:
         return 0
+    if n + words - 1 < short:
+        return int(shingle_digests(text, short).view(">i8")[0])
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 1 << 16):
         part = hashes[8 * at : 8 * (at + (1 << 16))].reshape(-1, 8)
@@ -81,12 +92,12 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return int(np.packbits(2 * ones > n).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, keys: tuple[str, ...] = ()) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = WORDS, keys: tuple[str, ...] = (), short: int = 0) -> DataFrame:
     """(doc_id, fp, *keys); ``keys`` are long columns of ``docs`` carried along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py(), words) for t in batch.column("bytes")]
+            fps = [fingerprint(t.as_py(), words, short) for t in batch.column("bytes")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(fps, pa.int64()), *(batch.column(k) for k in keys)],
                 names=["doc_id", "fp", *keys],
@@ -133,29 +144,28 @@ def _forest(radius: int):
 def near_links(fps: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
     """Links (a, b) of distinct fingerprints ``fp`` within ``radius`` bits, enough to connect all that are linked.
 
-    Every pair is emitted, except under crowded segment values, where a spanning forest is.
+    Every pair is emitted, except under crowded segment values, where a spanning forest is, and of what these forests connect already.
     """
     plan = segment_plan(radius, segments)
 
-    def around(i: int, masks: list[int]):
+    def around(i: int, masks: list[int]) -> Column:
         shift, width, _ = plan[i]
         own = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
         flips = F.array(*(F.lit(m).cast("long") for m in masks))
         return F.transform(flips, lambda m: F.struct(F.lit(i).alias("seg"), own.bitwiseXOR(m).alias("value")))
 
-    def values(reach: bool):
+    def values(reach: bool) -> Column:
         return F.concat(*(around(i, ball(width, share) if reach else [0]) for i, (_, width, share) in enumerate(plan)))
 
-    table = fps.select("fp", F.explode(values(False)).alias("at")).select("at.seg", "at.value", F.col("fp").alias("b"))
-    probes = fps.select("fp", F.explode(values(True)).alias("at")).select("at.seg", "at.value", F.col("fp").alias("a"))
-    full = settle(table.groupBy("seg", "value").count().where(F.col("count") > crowded).select("seg", "value"), "crowded")
-    calm = table.join(full, ["seg", "value"], "left_anti")
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    p, t = probes.alias("p"), calm.alias("t")
-    same = (F.col("p.seg") == F.col("t.seg")) & (F.col("p.value") == F.col("t.value"))
-    sparse = p.join(t, same & (F.col("p.a") < F.col("t.b")) & near).select("a", "b")
+    def table(rows: DataFrame, reach: bool, name: str) -> DataFrame:
+        more = [c for c in rows.columns if c != "fp"]
+        at = rows.select("fp", *more, F.explode(values(reach)).alias("at"))
+        return at.select("at.seg", "at.value", F.col("fp").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in more))
+
+    held = table(fps, False, "b")
+    full = settle(held.groupBy("seg", "value").count().where(F.col("count") > crowded).select("seg", "value"), "crowded")
     # Crowded values: all that lie there or reach it, in blocks; each pair of blocks is one small group.
-    inside = settle(probes.join(full, ["seg", "value"], "left_semi"), "crowded-members")
+    inside = settle(table(fps, True, "a").join(full, ["seg", "value"], "left_semi"), "crowded-members")
     blocks = inside.groupBy("seg", "value").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
     others = F.transform(
@@ -167,7 +177,16 @@ def near_links(fps: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS, c
         .select("seg", "value", F.col("a").alias("fp"), F.explode(others).alias("u"))
         .select("seg", "value", "fp", "u.i", "u.j")
     )
-    dense = units.groupBy("seg", "value", "i", "j").applyInPandas(_forest(radius), "a long, b long")
+    dense = settle(units.groupBy("seg", "value", "i", "j").applyInPandas(_forest(radius), "a long, b long"), "forests")
+    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+    if not dense.isEmpty():
+        roots = settle(components(dense).withColumnRenamed("node", "fp"), "crowded-roots")
+        fps = settle(fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "crowded-placed")
+        apart = apart & (F.col("root_a") != F.col("root_b"))
+    calm = table(fps, False, "b").join(full, ["seg", "value"], "left_anti")
+    p, t = table(fps, True, "a").alias("p"), calm.alias("t")
+    same = (F.col("p.seg") == F.col("t.seg")) & (F.col("p.value") == F.col("t.value"))
+    sparse = p.join(t, same & (F.col("p.a") < F.col("t.b")) & apart).select("a", "b")
     return sparse.union(dense)
 
 
@@ -206,14 +225,14 @@ def _one_of_each(keyed: DataFrame, placed: DataFrame) -> DataFrame:
     return kept.withColumn("n", F.row_number().over(once)).where("n = 1").select("row.*")
 
 
-def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, segments: int = SEGMENTS, short: int = 0) -> DataFrame:
     """``docs`` without near-duplicates: the smallest (id, content) of each component stays, once.
 
     All columns of the input come back as they were.
     """
     keyed = _with_keys(docs)
-    rows = settle(fingerprints(keyed, words, ("k1", "k2")), "fingerprint-rows")
-    return _one_of_each(keyed, linked(rows, radius))
+    rows = settle(fingerprints(keyed, words, ("k1", "k2"), short), "fingerprint-rows")
+    return _one_of_each(keyed, linked(rows, radius, segments))
 
 
 # --- near copies by similarity ------------------------------------------------------------------
