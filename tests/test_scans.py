@@ -23,6 +23,22 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_time_window_is_not_pushed_into_the_scans(spark, monkeypatch):
+    data = [("fr", "edit", f"T{i}", "u", "Rv x", f"2024-01-{20 + i:02d}T00:00:00Z", [], i + 1, i + 100) for i in range(10)]
+    changes = spark.createDataFrame(data, CHANGE)
+    payloads = spark.createDataFrame([(i + 100, i + 1, f'<td class="diff-deletedline">bad{i}</td>') for i in range(10)], PAYLOAD)
+    seen, window = [], rd.sel.within_days
+
+    def spied(df, *args):
+        seen.append(_plan(df))
+        return window(df, *args)
+
+    monkeypatch.setattr(rd.sel, "within_days", spied)
+    out = rd.human_reverts(changes, payloads, 5, 100, 3, "2024-01-31T00:00:00Z")
+    assert rows(out, "title", "added_text") == [("T7", "bad7"), ("T8", "bad8"), ("T9", "bad9")]
+    assert len(seen) == 1 and "Aggregate" not in seen[0] and "LogicalRDD" not in seen[0]
+
+
 def test_features_carry_no_names_of_their_entries(spark):
     texts = spark.createDataFrame([("le chat noir",), ("le chat",), ("",)], "text string")
     table = texts.select("text", *(F.lit(float(i)).alias(c) for i, c in enumerate(NUMERIC_FEATURES)))
