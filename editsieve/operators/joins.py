@@ -9,6 +9,8 @@ from ..functions import text as tx
 from .scale import null_safe_join, settle
 
 KEY = ["lang", "dedup_key"]
+# Id pairs up to which the payloads are narrowed to them before their text is extracted.
+FEW_IDS = 200_000
 
 
 def attach_diffs(
@@ -21,13 +23,16 @@ def attach_diffs(
     Rows that want no diff get a negative join id made from their own columns, so they match
     nothing and still spread evenly (ids are positive). Text is extracted in the scan of the payloads,
     so raw HTML is never shuffled; then only the payloads that ``changes`` asks for go on (an inner join
-    with their distinct ids: a semi join would be pushed below the extraction). Of several payloads
+    with their distinct ids: a semi join would be pushed below the extraction). Where few ids are asked for, as under a
+    cap, they are broadcast, and only their payloads are extracted at all. Of several payloads
     with the same ids the smallest pair of texts counts. Pass a settled table of changes, it is read twice.
     ``found`` names a boolean column that tells whether a payload was there.
     """
     keys = ["old_revid", "revid"]
     wanted = F.lit(True) if wanted is None else wanted
-    asked = changes.where(wanted).select(*keys).distinct()
+    asked = settle(changes.where(wanted).select(*keys).distinct(), "asked-ids")
+    if asked.count() <= FEW_IDS:
+        payloads = payloads.join(F.broadcast(asked), keys, "left_semi")
     added, removed = tx.diff_texts(F.col("compare_html"), mode)
     texts = payloads.select(*keys, added.alias("added_text"), removed.alias("removed_text")).join(asked, keys)
     least = F.min(F.struct("added_text", "removed_text")).alias("d")

@@ -39,6 +39,21 @@ def test_time_window_is_not_pushed_into_the_scans(spark, monkeypatch):
     assert len(seen) == 1 and "Aggregate" not in seen[0] and "LogicalRDD" not in seen[0]
 
 
+def test_few_ids_narrow_the_payloads_before_extraction(spark, monkeypatch):
+    cols = "lang string, title string, user string, timestamp string, revid long, old_revid long"
+    changes = settle(spark.createDataFrame([("fr", "a", "u", "t", 5, 4), ("fr", "b", "u", "t", 7, 6), ("fr", "c", "u", "t", None, 4)], cols), "changes")
+    html = '<td class="diff-addedline">%s</td>'
+    pay = [(4, 5, html % "two"), (4, 5, html % "one"), (8, 9, html % "other"), (None, 5, html % "null")]
+    payloads = settle(spark.createDataFrame(pay, PAYLOAD), "payloads")
+    got = joins.attach_diffs(changes, payloads)
+    assert "LeftSemi" in _plan(got)
+    want = [("a", "one", ""), ("b", "", ""), ("c", "", "")]
+    assert rows(got, "title", "added_text", "removed_text") == want
+    monkeypatch.setattr(joins, "FEW_IDS", 1)
+    many = joins.attach_diffs(changes, payloads)
+    assert "LeftSemi" not in _plan(many) and rows(many, "title", "added_text", "removed_text") == want
+
+
 def test_features_carry_no_names_of_their_entries(spark):
     texts = spark.createDataFrame([("le chat noir",), ("le chat",), ("",)], "text string")
     table = texts.select("text", *(F.lit(float(i)).alias(c) for i, c in enumerate(NUMERIC_FEATURES)))
