@@ -23,6 +23,38 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def _tables(spark, home):
+    text = "Ω" + "abc def " * 30
+    docs = [(i, text + str(i), "fr" if i % 2 else None, f"s{i % 3}") for i in range(40)]
+    docs += [(3, text, "en", "again"), (5, None, "en", None), (6, "", "en", "x"), (None, "t", "en", "x"), (90, "no event", "en", "x")]
+    kinds = ["view", "click", "signup", "purchase", "error", None]
+    events = [(i, i * 37, kinds[i % 6], dt.datetime(2024, 1, 1 + i % 28)) for i in range(41)] + [(9, None, "purchase", None), (None, 1, "view", None)]
+    labels = [(i, i % 2, int(i % 5 == 0)) for i in range(0, 40, 2)] + [(4, 1, 0), (8, None, None), (None, 1, 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{home}/documents.parquet")
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, ts timestamp_ntz").write.parquet(f"{home}/events.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{home}/labels.parquet")
+
+
+def test_edits_read_the_documents_once_and_equal_the_sql(spark, tmp_path):
+    home = str(tmp_path)
+    _tables(spark, home)
+    sql = f"WITH base AS ({fx._BASE}) {fx._TWICE}"
+    for name in ("documents", "events", "labels"):
+        spark.read.parquet(f"{home}/{name}.parquet").createOrReplaceTempView(f"{name}")
+    try:
+        want = fx._finish(spark.sql(sql))
+        got = fx.edits(spark, home)
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert rows(got) == rows(want) and got.count() > 40
+    finally:
+        for name in ("documents", "events", "labels"):
+            spark.catalog.dropTempView(name)
+    assert _plan(got).count("Union") == 0
+    # Titles alone carry no text through the join.
+    top = _plan(got.select("title")).split("Join")[0]
+    assert "added_text" not in top and "text#" not in top
+
+
 def test_time_window_is_not_pushed_into_the_scans(spark, monkeypatch):
     data = [("fr", "edit", f"T{i}", "u", "Rv x", f"2024-01-{20 + i:02d}T00:00:00Z", [], i + 1, i + 100) for i in range(10)]
     changes = spark.createDataFrame(data, CHANGE)
