@@ -98,3 +98,18 @@ def test_every_fold_is_calibrated_under_its_own_vocabulary(spark, monkeypatch):
     assert all(0 < r.score < 1 and 0 < r.mean_score < 1 for r in rows.values())
     # The margin orders the scores of a fold, and the labels' shares are met on the held-out rows: that is what calibration does.
     assert np.mean([r.score for r in rows.values()]) == pytest.approx(1 / 3, abs=0.02)
+
+
+def test_steps_of_a_training_run_do_not_stay_on_disk(spark, tmp_path):
+    """Before, five copies of the rows, the gram counts and the vectors of all folds stayed until the session's end."""
+    import os
+
+    from editsieve.operators.scale import shared_dir
+    from editsieve.plans import training as tr
+    from tests.test_model_and_streams import _samples
+
+    here = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(here))
+    tr.train_and_export(_samples(spark), str(tmp_path / "out"), TrainConfig(min_rows=50, max_iter=8, word_vocabulary=200, char_vocabulary=200), version="v1")
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(here)) - before}
+    assert not left & {"unique", "balanced", "split", "folds", "word-grams", "char-grams", "bags", "vectors"}
